@@ -91,16 +91,17 @@ def load(blob: bytes) -> Cascade:
     return Cascade.load(blob)
 
 
-def url_keys(url: Column) -> Column:
-    """Distinct keys of a URL: host and path, the host and each of its parents of two labels or more."""
-    low = F.lower(F.coalesce(url, F.lit("")))
-    rest = F.regexp_replace(F.regexp_replace(low, r"^[a-z][a-z0-9+.-]*://", ""), r"[?#].*$", "")
-    rest = F.regexp_replace(F.regexp_replace(rest, r"^[^/@]*@", ""), r"/+$", "")
-    host = F.regexp_replace(F.regexp_replace(F.split(rest, "/")[0], r":[0-9]*$", ""), r"\.+$", "")
-    labels = F.split(host, r"\.")
-    cut = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(DEEPEST), F.size(labels) - 1)))
-    parents = F.transform(cut, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    return F.array_distinct(F.filter(F.concat(F.array(rest), parents), lambda k: F.length(k) > 0))
+def with_keys(pages: DataFrame) -> DataFrame:
+    """(page_id, url, __h): hashes of a URL's distinct keys: host and path, the host and its parents of two labels or more."""
+    low = F.lower(F.coalesce("url", F.lit("")))
+    bare = F.regexp_replace(F.regexp_replace(low, r"^[a-z][a-z0-9+.-]*://", ""), r"[?#].*$", "")
+    rows = pages.select("page_id", "url", F.regexp_replace(F.regexp_replace(bare, r"^[^/@]*@", ""), r"/+$", "").alias("__rest"))
+    host = F.regexp_replace(F.regexp_replace(F.split("__rest", "/")[0], r":[0-9]*$", ""), r"\.+$", "")
+    rows = rows.withColumn("__labels", F.split(host, r"\."))
+    cut = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(DEEPEST), F.size("__labels") - 1)))
+    parents = F.transform(cut, lambda i: F.array_join(F.slice("__labels", i, F.size("__labels")), "."))
+    rows = rows.withColumn("__keys", F.filter(F.concat(F.array("__rest"), parents), lambda k: F.length(k) > 0))
+    return rows.select("page_id", "url", hashed(F.array_distinct("__keys")).alias("__h"))
 
 
 def hashed(keys: Column) -> Column:
@@ -149,7 +150,7 @@ def url_filter(pages: DataFrame, listed: DataFrame | None = None, per_shard: int
     spark = pages.sparkSession
     if listed is None:
         listed = spark.createDataFrame([(k,) for k in LISTED], "__key string")
-    rows = materialise(pages.select("page_id", "url", hashed(url_keys(F.col("url"))).alias("__h")))
+    rows = materialise(with_keys(pages))
     index, shards = cascade_index(rows.select("__h"), listed, per_shard)
     if (index.agg(F.sum(F.octet_length("__blob"))).first()[0] or 0) <= most_broadcast:
         shared = spark.sparkContext.broadcast({r[0]: bytes(r[1]) for r in index.collect()})
