@@ -76,12 +76,13 @@ def test_clean(spark):
 
 def test_projection_onto_a_bent_shape(spark):
     shape = spark.createDataFrame([("s", 1, 40.0, -74.0), ("s", 2, 40.0, -73.99), ("s", 3, 40.01, -73.99), ("p", 1, 0.0, 0.0)], "shape_id string, seq int, lat double, lon double")
-    stops = spark.createDataFrame([("s", "a", 40.0, -74.0), ("s", "b", 40.0001, -73.995), ("s", "c", 40.02, -73.99), ("p", "a", 0.0, 0.0)], "shape_id string, stop_id string, stop_lat double, stop_lon double")
+    stops = spark.createDataFrame([("s", "a", 40.0, -74.0), ("s", "b", 40.0001, -73.995), ("s", "c", 40.02, -73.99), ("p", "a", 0.0, 0.0), ("s", "none", None, None)], "shape_id string, stop_id string, stop_lat double, stop_lon double")
     got = {(r[0], r[1]): r[2] for r in geo.project(shape, stops).collect()}
     first = one(spark, geo.haversine_m(*map(F.lit, (40.0, -74.0, 40.0, -73.99))))
     second = one(spark, geo.haversine_m(*map(F.lit, (40.0, -73.99, 40.01, -73.99))))
     assert got["s", "a"] == 0 and abs(got["s", "b"] - first / 2) < 0.01 and abs(got["s", "c"] - first - second) < 0.01
-    assert got["p", "a"] is None
+    assert got["p", "a"] is None and got["s", "none"] is None
+    assert one(spark, geo.haversine_m(*map(F.lit, (None, -74.0, 40.0, -73.99)))) is None
 
 
 def test_line_wkt(spark):

@@ -27,3 +27,7 @@ def test_nothing_else_imports_them():
     for file in (ROOT / "tramline").rglob("*.py"):
         if "llm" not in file.relative_to(ROOT).parts:
             assert "tramline.llm" not in file.read_text(), file
+
+
+def test_imports_without_a_session():
+    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"], cwd=ROOT, check=True)

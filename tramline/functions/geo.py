@@ -11,10 +11,10 @@ MPH = 2.23694
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """metres on the sphere."""
+    """metres on the sphere; null where a coordinate is."""
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2)
     a += F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * EARTH_M * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    return 2 * EARTH_M * F.asin(F.sqrt(F.when(a > 1, F.lit(1.0)).otherwise(a)))
 
 
 def arc_lengths(points: DataFrame, keys: list[str]) -> DataFrame:
@@ -30,7 +30,7 @@ def project(shapes: DataFrame, stops: DataFrame) -> DataFrame:
     """(shape_id, stop_id, along_m) of each pair in stops (shape_id, stop_id, stop_lat, stop_lon).
 
     Flat projection about the shape's first point; the nearest segment, the first of equally near ones. A shape of
-    fewer than two points gives null. Pass distinct pairs: the cost is pairs times points of their shape.
+    fewer than two points gives null, as does a stop without a position. Pass distinct pairs: the cost is pairs times points of their shape.
     """
     order = W.partitionBy("shape_id").orderBy("seq")
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
@@ -46,7 +46,8 @@ def project(shapes: DataFrame, stops: DataFrame) -> DataFrame:
     px, py = (F.col("stop_lon") - F.col("lon")) * k * shrink, (F.col("stop_lat") - F.col("lat")) * k
     j = j.withColumns({"__dx": dx, "__dy": dy, "__px": px, "__py": py})
     norm = F.expr("__dx * __dx + __dy * __dy")
-    t = F.when(norm == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.expr("__px * __dx + __py * __dy") / norm)))
+    t = F.expr("__px * __dx + __py * __dy") / norm
+    t = F.when(norm == 0, 0.0).when(t > 1, 1.0).when(t < 0, 0.0).otherwise(t)  # least() and greatest() would skip a null
     j = j.withColumn("__t", t)
     off = F.pow(F.expr("__px - __t * __dx"), 2) + F.pow(F.expr("__py - __t * __dy"), 2)
     along = F.col("dist_m") + F.col("__t") * (F.col("__next_dist_m") - F.col("dist_m"))

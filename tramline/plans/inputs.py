@@ -121,7 +121,7 @@ SHAPES = "shapes AS (SELECT CAST(s_nationkey % 5 AS VARCHAR) AS shape_id, s_supp
 
 
 def hav(a: str, b: str, c: str, d: str) -> str:
-    return f"2 * 6371000.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE, pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2))))"
+    return f"2 * 6371000.0::DOUBLE * asin(sqrt(CASE WHEN ({a}) + ({b}) + ({c}) + ({d}) IS NOT NULL THEN least(1.0::DOUBLE, pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2)) END))"
 
 
 ARCS = f"""{SHAPES},

@@ -29,7 +29,7 @@ def dated(s, d):
 
 OFFSET = "CASE WHEN instant >= 1710054000 AND instant < 1730613600 THEN -14400 WHEN instant >= 1741503600 AND instant < 1762063200 THEN -14400 ELSE -18000 END"
 DATED = f"{PINGS}, dt AS (SELECT *, ts + ord % 365 * 86400 AS instant FROM pings), dz AS (SELECT *, {OFFSET} AS off FROM dt)"
-NY = F.lit("America/New_York")
+NY = "America/New_York"
 
 HEAD = f"""{VISITS},
 routed AS (SELECT *, departure_ts - arrival_ts AS dwell_s FROM day_visits WHERE route_id IS NOT NULL AND route_id <> ''),
@@ -105,16 +105,16 @@ QUERIES = {
     "dwell_percentiles": (lambda s, d: marts.stop_activity(day_visits(s, d)), f"""WITH {VISITS}, h AS (SELECT *, arrival_ts - lag(arrival_ts) OVER (PARTITION BY stop_id ORDER BY arrival_ts, departure_ts, vehicle) AS h FROM day_visits)
 SELECT stop_id, count(*) AS visits, array_to_string(list_sort(list(DISTINCT route_id)), ',') AS routes, {pf('h', 50)} AS headway_p50, CAST(sum(departure_ts - arrival_ts) AS BIGINT) AS dwell_total FROM h GROUP BY stop_id"""),
     "headway_clip": (lambda s, d: marts.clipped_headways(day_visits(s, d), 30, 40_000), f"""WITH {HEAD} SELECT route_id, count(*) AS n, {pf('headway_s', 50)} AS p50, {pf('headway_s', 90)} AS p90, min(headway_s) AS low, max(headway_s) AS high FROM hw WHERE headway_s BETWEEN 30 AND 40000 GROUP BY route_id"""),
-    "events_explode": (lambda s, d: marts.events(day_visits(s, d)).withColumn("service_date", timeutil.service_date("event_unix", NY)), f"""WITH {VISITS}, e AS (SELECT route_id, direction_id, stop_id, trip_id, vehicle, 'ARR' AS event_type, arrival_ts AS event_unix FROM visits UNION ALL SELECT route_id, direction_id, stop_id, trip_id, vehicle, 'DEP', departure_ts FROM visits)
+    "events_explode": (lambda s, d: marts.events(day_visits(s, d)).withColumn("service_date", timeutil.service_date("event_unix", F.lit(NY))), f"""WITH {VISITS}, e AS (SELECT route_id, direction_id, stop_id, trip_id, vehicle, 'ARR' AS event_type, arrival_ts AS event_unix FROM visits UNION ALL SELECT route_id, direction_id, stop_id, trip_id, vehicle, 'DEP', departure_ts FROM visits)
 SELECT *, strftime(make_timestamp((event_unix - 18000) * 1000000), '%Y-%m-%d') AS service_date FROM e WHERE route_id <> ''"""),
     "trip_runs": (lambda s, d: v.trip_runs(pings(s, d)), f"""WITH {PINGS}, l AS (SELECT *, lag(trip_id) OVER (PARTITION BY vehicle ORDER BY ts, ord) AS b FROM pings)
 SELECT vehicle, count(*) AS pings, count(*) FILTER (b IS NULL OR b <> trip_id) AS trip_runs, count(DISTINCT trip_id) AS trips FROM l GROUP BY vehicle"""),
-    "service_date_tz": (lambda s, d: dated(s, d).select("ord", timeutil.service_date("instant", NY).alias("service_date")), f"WITH {DATED} SELECT ord, strftime(make_timestamp((instant + off) * 1000000), '%Y-%m-%d') AS service_date FROM dz"),
-    "fmt_local": (lambda s, d: dated(s, d).select("ord", timeutil.fmt_local("instant", NY).alias("local_time")), f"WITH {DATED} SELECT ord, strftime(make_timestamp((instant + off) * 1000000), '%Y-%m-%d %H:%M:%S') || CASE WHEN off = -14400 THEN '-04:00' ELSE '-05:00' END AS local_time FROM dz"),
-    "service_midnight_dst": (lambda s, d: dated(s, d).select("ord", timeutil.service_midnight(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("ord") % 700).cast("int")), NY).alias("midnight")), f"""WITH {PINGS}, m AS (SELECT ord, 1704067200 + (ord % 700) * 86400 + 43200 + 18000 AS instant FROM pings)
+    "service_date_tz": (lambda s, d: dated(s, d).select("ord", timeutil.service_date("instant", F.lit(NY)).alias("service_date")), f"WITH {DATED} SELECT ord, strftime(make_timestamp((instant + off) * 1000000), '%Y-%m-%d') AS service_date FROM dz"),
+    "fmt_local": (lambda s, d: dated(s, d).select("ord", timeutil.fmt_local("instant", F.lit(NY)).alias("local_time")), f"WITH {DATED} SELECT ord, strftime(make_timestamp((instant + off) * 1000000), '%Y-%m-%d %H:%M:%S') || CASE WHEN off = -14400 THEN '-04:00' ELSE '-05:00' END AS local_time FROM dz"),
+    "service_midnight_dst": (lambda s, d: dated(s, d).select("ord", timeutil.service_midnight(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("ord") % 700).cast("int")), F.lit(NY)).alias("midnight")), f"""WITH {PINGS}, m AS (SELECT ord, 1704067200 + (ord % 700) * 86400 + 43200 + 18000 AS instant FROM pings)
 SELECT ord, instant - 43200 - 18000 - ({OFFSET}) AS midnight FROM m"""),
     "hms_seconds": (lambda s, d: pings(s, d).select("ord", timeutil.hms_seconds(F.concat_ws(":", F.col("k") % 30, F.when(F.col("k") % 13 == 0, "x").otherwise((F.col("ord") % 60).cast("string")), F.lpad((F.col("k") % 60).cast("string"), 2, "0"))).alias("seconds")), f"WITH {PINGS} SELECT ord, CASE WHEN k % 13 <> 0 THEN CAST((k % 30) * 3600 + (ord % 60) * 60 + k % 60 AS INTEGER) END AS seconds FROM pings"),
-    "naive_local_fold": (lambda s, d: pings(s, d).select("ord", timeutil.naive_local_to_utc(F.concat(F.lit("2024-11-03T01:"), F.lpad((F.col("k") % 60).cast("string"), 2, "0"), F.lit(":00")), NY, F.lit(1730611800) + F.col("ord") % 7200).alias("utc")), f"""WITH {PINGS}, c AS (SELECT ord, 1730610000 + (k % 60) * 60 AS f, 1730611800 + ord % 7200 AS near FROM pings)
+    "naive_local_fold": (lambda s, d: pings(s, d).select("ord", timeutil.naive_local_to_utc(F.concat(F.lit("2024-11-03T01:"), F.lpad((F.col("k") % 60).cast("string"), 2, "0"), F.lit(":00")), F.lit(NY), F.lit(1730611800) + F.col("ord") % 7200).alias("utc")), f"""WITH {PINGS}, c AS (SELECT ord, 1730610000 + (k % 60) * 60 AS f, 1730611800 + ord % 7200 AS near FROM pings)
 SELECT ord, CASE WHEN abs(f + 3600 - near) < abs(f - near) THEN f + 3600 ELSE f END AS utc FROM c"""),
     "hour_bucket": (lambda s, d: pings(s, d).groupBy(timeutil.bucket("ts", 3600).alias("hour")).agg(F.count(F.lit(1)).alias("n")), f"WITH {PINGS} SELECT ts // 3600 AS hour, count(*) AS n FROM pings GROUP BY 1"),
     "dedup_latest": (lambda s, d: v.update_visits(updates(s, d), ["feed_timestamp", "ord"]), f"WITH {UPDATES} SELECT CASE WHEN vid = '' THEN label ELSE vid END AS vehicle, trip_id, stop_id, coalesce(a, dep) AS arrival_ts, coalesce(dep, a) AS departure_ts FROM last"),
