@@ -184,5 +184,5 @@ SELECT feed_id, agency, host, path, lower(agency) || CASE WHEN i > 1 THEN '-' ||
     "shape_wkt": (lambda s, d: shapes(s, d).groupBy("shape_id").agg(F.array_sort(F.collect_list(F.struct("seq", F.round("lat", 3).alias("lat"), F.round("lon", 3).alias("lon")))).alias("p")).select("shape_id", F.length(geo.line_wkt(F.col("p"))).alias("wkt_length"), F.size("p").alias("points")), None),
     "geojson_features": (lambda s, d: serve.geojson(shapes(s, d).groupBy("shape_id").agg(F.array_sort(F.collect_list(F.struct("seq", "lat", "lon"))).alias("line")), F.col("line"), ["shape_id"]), None),
     "static_bundle": (lambda s, d: serve.export_bundle({"regions": table(s, d, "region"), "nations": table(s, d, "nation")}), None),
-    "clean_values": (lambda s, d: table(s, d, "customer").select("c_custkey", stats.clean(F.col("c_acctbal") / F.when(F.col("c_custkey") % 5 != 0, F.col("c_custkey").cast("double")), 1).alias("v")), "SELECT c_custkey, round_even(CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal / c_custkey END, 1) AS v FROM customer"),
+    "clean_values": (lambda s, d: table(s, d, "customer").select("c_custkey", stats.clean(F.col("c_acctbal") / F.when(F.col("c_custkey") % 5 != 0, F.col("c_custkey").cast("double")), 1).alias("v")), "SELECT c_custkey, round_even(CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal / c_custkey END, 1) + 0.0::DOUBLE AS v FROM customer"),
 }
