@@ -37,3 +37,12 @@ def test_nothing_listed_and_no_pages(spark):
     none = spark.createDataFrame([], "__key string")
     assert not any(r["listed"] for r in uf.url_filter(pages, none).collect())
     assert uf.url_filter(pages.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_hosts_of_any_depth(spark, most):
+    hosts = {1: ".".join("abcdef") + ".spam-farm.example.org", 2: ".".join("abcdef") + ".bad.org", 3: "x." * 3_000 + "spam-farm.example.org", 4: "x." * 3_000 + "example.org", 5: "org", 6: "spam-farm.example.org"}
+    pages = spark.createDataFrame([(k, f"http://{h}/p") for k, h in hosts.items()], "page_id long, url string")
+    listed = spark.createDataFrame([(k,) for k in [*uf.LISTED, "bad.org", "org"]], "__key string")
+    got = {r["page_id"]: r["listed"] for r in uf.url_filter(pages, listed, per_shard=1000, most_broadcast=most).collect()}
+    assert got == {1: True, 2: True, 3: True, 4: False, 5: True, 6: True}

@@ -26,7 +26,7 @@ LISTED = (
     "free-bets.example.net",
 )
 PER_SHARD = 500_000
-DEEPEST = 6
+DEEPEST = 6  # only the SQL stops there
 
 
 class Cascade:
@@ -98,15 +98,23 @@ def with_keys(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", F.regexp_replace(F.regexp_replace(bare, r"^[^/@]*@", ""), r"/+$", "").alias("__rest"))
     host = F.regexp_replace(F.regexp_replace(F.split("__rest", "/")[0], r":[0-9]*$", ""), r"\.+$", "")
     rows = rows.withColumn("__labels", F.split(host, r"\."))
-    cut = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(DEEPEST), F.size("__labels") - 1)))
-    parents = F.transform(cut, lambda i: F.array_join(F.slice("__labels", i, F.size("__labels")), "."))
-    rows = rows.withColumn("__keys", F.filter(F.concat(F.array("__rest"), parents), lambda k: F.length(k) > 0))
-    return rows.select("page_id", "url", hashed(F.array_distinct("__keys")).alias("__h"))
+    size = F.size("__labels")
+    cut = F.sequence(F.lit(1), F.greatest(F.lit(1), size - 1))
+    suffix = lambda i: F.array_join(F.slice("__labels", i, size), ".")
+    # hashed one by one: the suffixes of a host of very many labels would not fit in memory together
+    parents = F.flatten(F.transform(cut, lambda i: F.when(F.length(suffix(i)) > 0, bits(suffix(i))).otherwise(F.array().cast("array<bigint>"))))
+    rest = F.when((F.length("__rest") > 0) & (F.col("__rest") != suffix(F.lit(1))), bits(F.col("__rest"))).otherwise(F.array().cast("array<bigint>"))
+    return rows.select("page_id", "url", F.concat(rest, parents).alias("__h"))
+
+
+def bits(key: Column) -> Column:
+    """A key's 128 bits, as two longs."""
+    return F.array(F.xxhash64(key), F.xxhash64(key, F.lit(1)))
 
 
 def hashed(keys: Column) -> Column:
     """Each key's 128 bits, as a flat array of longs."""
-    return F.flatten(F.transform(keys, lambda k: F.array(F.xxhash64(k), F.xxhash64(k, F.lit(1)))))
+    return F.flatten(F.transform(keys, bits))
 
 
 def pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
