@@ -63,7 +63,7 @@ def type_minutes(s, d):
 
 def compare(s, d):
     """Routes by on-time share, those without one last."""
-    return daily_otp(s, d).withColumn("on_time_pct", F.when(F.col("matched") >= 3, F.col("on_time_pct"))).orderBy(F.desc_nulls_last("on_time_pct"), "service_date").limit(40)
+    return daily_otp(s, d).withColumn("on_time_pct", F.when(F.col("matched") >= 3, F.col("on_time_pct"))).orderBy(F.desc_nulls_last("on_time_pct"), "service_date")
 
 
 def route_page(s, d):
