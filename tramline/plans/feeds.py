@@ -41,7 +41,7 @@ SUMMARY = f"{NEWEST}, lb(type) AS (VALUES {LABELS}), sm AS (SELECT lb.type, coun
 
 
 def daily(s, d):
-    rows = pings(s, d).filter("k % 5 < 2 and stop_id = 'error'")
+    rows = pings(s, d).filter("stop_id = 'error'")
     rows = rows.select(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("ts") / 86400).cast("int")).alias("day"), F.lit(1).cast("long").alias("alerts"), F.col("k").alias("minutes"))
     return al.dense_daily(rows, "day", "2023-12-25", "2024-02-10", ["alerts", "minutes"]).withColumn("day", F.col("day").cast("string"))
 
@@ -101,8 +101,7 @@ def geometries(s, d):
 
 
 def snapshots(s, d):
-    e = pings(s, d).filter("k % 4 <> 0")
-    return e.select((F.floor((F.col("ts") - 1704067200) / 259200)).cast("int").alias("snap"), F.col("vehicle_id").alias("stop_id"), (F.col("k") % 2).cast("string").alias("name")).groupBy("snap", "stop_id").agg(F.min("name").alias("name"))
+    return pings(s, d).select((F.floor((F.col("ts") - 1704067200) / 259200)).cast("int").alias("snap"), F.col("vehicle_id").alias("stop_id"), (F.col("k") % 2).cast("string").alias("name")).groupBy("snap", "stop_id").agg(F.min("name").alias("name"))
 
 
 SNAPS = f"{PINGS}, ps AS (SELECT CAST((ts - 1704067200) // 259200 AS INTEGER) AS snap, vehicle AS stop_id, min(CAST(k % 2 AS VARCHAR)) AS name FROM pings WHERE k % 4 <> 0 GROUP BY 1, 2)"

@@ -104,7 +104,7 @@ def calendar(s, d):
 
 def exceptions(s, d):
     o = F.col("o_orderkey")
-    return table(s, d, "orders").filter(o % 10 == 0).select(F.concat(F.lit("S"), o % 25).alias("service_id"), F.col("o_orderdate").cast("date").alias("date"), (o / 10 % 2 + 1).cast("int").alias("exception_type")).distinct()
+    return table(s, d, "orders").select(F.concat(F.lit("S"), o % 25).alias("service_id"), F.col("o_orderdate").cast("date").alias("date"), (o / 10 % 2 + 1).cast("int").alias("exception_type")).distinct()
 
 
 ACTIVE = f"""days AS ({CAL_DAYS}),
