@@ -118,3 +118,11 @@ def test_two_hops(spark):
     side = spark.createDataFrame([(1, "x"), (2, "5")], "id_ligne long, nom_commercial string")
     routes = spark.createDataFrame([("5", "R5")], "route_short_name string, route_id string")
     assert {r[0]: r[1] for r in normalize.two_hop(rows, static, side, routes.withColumnRenamed("route_id", "route_id")).collect()} == {1: "A", 2: "R5", 3: None}
+
+
+def test_direction_chain(spark):
+    rows = spark.createDataFrame([("R", "A", "B", "T1", 14), ("R", "B", "C", "T1", 14), ("R", "B", "C", "T2", 1), ("R", "B", "C", "T3", None)], "route_id string, from_stop_id string, to_stop_id string, trip_id string, direction_id int")
+    geometry = segments.directions(spark.createDataFrame([("R", 0, "S", "A", 1.0), ("R", 0, "S", "B", 2.0)], "route_id string, direction_id int, shape_id string, stop_id string, along_m double"))
+    trips = spark.createDataFrame([("T1", 1), ("T3", None)], "trip_id string, direction_id int")
+    got = segments.with_direction(rows, geometry, trips)
+    assert got.columns and sorted((r["from_stop_id"], r["trip_id"], r["direction_id"]) for r in got.collect()) == [("A", "T1", 0), ("B", "T1", 1), ("B", "T2", 1), ("B", "T3", None)]

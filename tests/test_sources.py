@@ -6,6 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from tramline.operators import schedule
 from tramline.sources import frames, gtfs_zip, gtfsrt, json_feeds, sinks
 
 
@@ -137,3 +138,28 @@ def test_sinks(spark, tmp_path):
 def test_frame_layout():
     body = frames.frame([b"xy"])
     assert body[:5] == b"\x89GRT\x01" and struct.unpack(">I", body[5:9]) == (2,)
+
+
+def test_historic_observations_to_facts(spark):
+    head = "agency_id,trip_id,service_date,vehicle_id,stop_sequence,observed_arrival_time,observed_departure_time,route_id,direction_id,to_stop_id,scheduled_arrival_time,scheduled_departure_time,other"
+    lines = [
+        "SF,T1,20240520,V,3,08:00:30,,R,1,S,08:00:00,08:01:00,x", "XX,T2,20240520,V,3,08:00:30,,R,1,S,08:00:00,,x",
+        "SC,T3,20240520,,2.0,25:10:00,25:12:00,Q,east,S,,25:05:00,x", "CT,T4,20240520,V,1,,08:00:00,R,0,S,08:00:00,08:00:00,x",
+        "CE,T5,20240520,V,1,08:00:00,,R,0,S,,,x", "AM,T6,20240310,V,1,08:00:00,,R,0,S,08:02:00,,x", "SA,T7,oops,V,1,08:00:00,,R,0,S,08:02:00,,x",
+    ]
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("stop_observations.txt", "\n".join([head, *lines]))
+    files = spark.createDataFrame([("h.zip", out.getvalue())], "path string, content binary")
+    scan = gtfs_zip.read(files, "stop_observations", {"agency_id": list(schedule.AGENCY_FEEDS)})
+    assert sorted((r["ord"], r["trip_id"]) for r in scan.collect()) == [(k, f"T{k + 1}") for k in (0, 2, 3, 4, 5, 6)]
+    modes = spark.createDataFrame([("R", "bus")], "route_id string, mode string")
+    got = {r["trip_id"]: r for r in schedule.historic_facts(scan, modes).collect()}
+    assert set(got) == {"T1", "T3", "T6"}
+    midnight = 1716188400  # 2024-05-20 00:00 in Los Angeles
+    one, three, six = got["T1"], got["T3"], got["T6"]
+    assert (one["feed"], one["mode"], one["service_date"], one["vehicle"], one["direction_id"], one["stop_sequence"]) == ("sfmta-vehicles", "bus", "2024-05-20", "V", 1, 3)
+    assert (one["arrival_ts"], one["departure_ts"], one["arrival_delay_s"], one["departure_delay_s"], one["status"]) == (midnight + 28830, midnight + 28830, 30, -30, "on_time")
+    assert (three["arrival_ts"], three["arrival_delay_s"], three["departure_delay_s"], three["status"], three["on_time"]) == (midnight + 90600, None, 420, "late", False)
+    assert (three["mode"], three["vehicle"], three["direction_id"], three["stop_sequence"]) == (None, None, None, 2)
+    assert (six["arrival_ts"], six["status"]) == (1710082800, "early")  # 08:00 after the clocks went forward

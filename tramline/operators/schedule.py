@@ -7,9 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tramline.functions.stats import pct_int, true
-from tramline.functions.timeutil import service_midnight
+from tramline.functions.timeutil import hms_seconds, service_midnight
 
 EARLY_S, LATE_S = 60, 300
+AGENCY_FEEDS = {"SF": "sfmta-vehicles", "SC": "vta-vehicles", "CT": "caltrain-vehicles", "CE": "ace-vehicles", "AM": "capcor-vehicles", "SA": "smart-vehicles"}
 WEEK = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
 
 
@@ -80,6 +81,39 @@ def adherence(visits: DataFrame, schedule: DataFrame, tz: Column) -> DataFrame:
     return rows.withColumn("on_time", F.col("status") == "on_time").drop("__s", "__s0", "__s1", "__b0", "__b1", "local_date")
 
 
+def historic_facts(observed: DataFrame, modes: DataFrame, tz: Column | None = None, feeds: dict[str, str] = AGENCY_FEEDS) -> DataFrame:
+    """Rows of stop_observations as adherence facts, with their feed and mode.
+
+    observed: strings, as gtfs_zip.read gives them; modes: (route_id, mode), one row for each route. Clocks count from
+    the service day's midnight in tz (Los Angeles). The departure is the arrival where none was observed. Rows of other
+    agencies, without an arrival, or without a scheduled time to judge by are dropped, as are bad dates, at which
+    the reference stops. A direction or sequence that isn't a whole number is null.
+    """
+    def at(clock: str) -> Column:
+        s = hms_seconds(clock)
+        return F.when(s >= 0, F.col("__midnight") + s)
+
+    def whole(c: str) -> Column:
+        x = F.col(c).try_cast("double")
+        return F.when(x == F.floor(x), x.try_cast("int"))
+
+    day = F.try_to_timestamp("service_date", F.lit("yyyyMMdd")).cast("date")
+    feed = F.create_map(*[F.lit(x) for pair in feeds.items() for x in pair])
+    rows = observed.filter(F.col("agency_id").isin(*feeds)).withColumn("service_date", day)
+    rows = rows.withColumn("__midnight", service_midnight("service_date", F.lit("America/Los_Angeles") if tz is None else tz))
+    rows = rows.withColumns({
+        "arrival_ts": at("observed_arrival_time"), "departure_ts": F.coalesce(at("observed_departure_time"), at("observed_arrival_time")),
+        "scheduled_arrival_unix": at("scheduled_arrival_time"), "scheduled_departure_unix": at("scheduled_departure_time"),
+    })
+    rows = rows.withColumns({"arrival_delay_s": F.col("arrival_ts") - F.col("scheduled_arrival_unix"), "departure_delay_s": F.col("departure_ts") - F.col("scheduled_departure_unix")})
+    rows = rows.withColumn("basis", F.coalesce("arrival_delay_s", "departure_delay_s")).filter("arrival_ts is not null and basis is not null")
+    rows = rows.withColumns({"status": classify(F.col("basis")), "on_time": classify(F.col("basis")) == "on_time", "direction_id": whole("direction_id"), "stop_sequence": whole("stop_sequence"), "feed": F.element_at(feed, F.col("agency_id"))})
+    return rows.join(modes.select("route_id", "mode"), "route_id", "left").select(
+        "feed", "trip_id", F.col("to_stop_id").alias("stop_id"), true("vehicle_id").alias("vehicle"), F.col("service_date").cast("string").alias("service_date"), "route_id", "mode", "direction_id", "stop_sequence",
+        "arrival_ts", "departure_ts", "scheduled_arrival_unix", "scheduled_departure_unix", "arrival_delay_s", "departure_delay_s", "basis", "status", "on_time",
+    )
+
+
 def otp(facts: DataFrame, keys: list[str], stops: bool) -> DataFrame:
     """A4: counts by status and delays, at either grain."""
     extra = [F.count_distinct("stop_id").alias("distinct_stop_count")] if stops else []

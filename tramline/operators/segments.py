@@ -43,6 +43,16 @@ def directions(offsets: DataFrame) -> DataFrame:
     return a.join(b, ["route_id", "direction_id", "shape_id"]).filter("a < b").groupBy("route_id", "from_stop_id", "to_stop_id").agg(F.min("direction_id").alias("geo_direction"))
 
 
+def with_direction(segments: DataFrame, geometry: DataFrame, trips: DataFrame) -> DataFrame:
+    """The direction by geometry, else that of the static trip, else the realtime one; speeds drops what isn't 0 or 1 then.
+
+    geometry: what directions gives; trips: (trip_id, direction_id), one row for each trip.
+    """
+    rows = segments.join(geometry, ["route_id", "from_stop_id", "to_stop_id"], "left")
+    rows = rows.join(trips.select("trip_id", F.col("direction_id").alias("__static")), "trip_id", "left")
+    return rows.withColumn("direction_id", F.coalesce("geo_direction", "__static", "direction_id")).drop("geo_direction", "__static")
+
+
 def speeds(segments: DataFrame, along: DataFrame | None = None) -> DataFrame:
     """Transit between 0 and two hours, distance along the shape if it is plausible, speed below the cap.
 

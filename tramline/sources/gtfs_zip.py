@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as compute
 import pyarrow.csv as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,15 +25,17 @@ COLUMNS = {
     "shapes": "shape_id shape_pt_lat shape_pt_lon shape_pt_sequence shape_dist_traveled",
     "directions": "route_id direction_id direction direction_destination",
     "checkpoints": "checkpoint_id checkpoint_name",
+    "stop_observations": "trip_id service_date vehicle_id stop_sequence observed_arrival_time observed_departure_time route_id agency_id direction_id to_stop_id scheduled_arrival_time scheduled_departure_time",
     "route_patterns": "route_pattern_id route_id direction_id route_pattern_name route_pattern_time_desc route_pattern_typicality route_pattern_sort_order representative_trip_id",
 }
 
 
-def read(files: DataFrame, table: str) -> DataFrame:
+def read(files: DataFrame, table: str, only: dict[str, list[str]] | None = None) -> DataFrame:
     """All rows of one member of each zip (path, content), every column a string, with path and ord.
 
     A missing member has no rows, a missing column is null; blanks around values don't count. A member is streamed in
-    blocks, so its size isn't bound by memory.
+    blocks, so its size isn't bound by memory. only: the values wanted of some columns; other rows don't leave a block,
+    and ord still counts them.
     """
     names = COLUMNS[table].split()
 
@@ -53,7 +56,10 @@ def read(files: DataFrame, table: str) -> DataFrame:
                         for block in pc.open_csv(member, pc.ReadOptions(column_names=known, skip_rows=1), pc.ParseOptions(newlines_in_values=True), options):
                             n = block.num_rows
                             columns = {c: block.column(known.index(c)) if c in known else pa.nulls(n, pa.string()) for c in names}
-                            yield pa.RecordBatch.from_pydict({"path": pa.array([path] * n), "ord": pa.array(range(at, at + n), pa.int64()), **columns})
+                            made = pa.RecordBatch.from_pydict({"path": pa.array([path] * n), "ord": pa.array(range(at, at + n), pa.int64()), **columns})
+                            for c, values in (only or {}).items():
+                                made = made.filter(compute.is_in(compute.utf8_trim_whitespace(made.column(c)), value_set=pa.array(values, pa.string())))
+                            yield made
                             at += n
 
     rows = files.select("path", "content").mapInArrow(run, "path string, ord long, " + ", ".join(f"`{c}` string" for c in names))
