@@ -76,3 +76,17 @@ def test_stage_keeps_whole_rows(spark, awkward, clash):
     got = nd.stage(spark, docs, "")
     assert got.columns == docs.columns
     assert got.count() == nd.near_dedup(awkward).count()
+
+
+def test_dense_chunks_are_compared_by_their_leading_bits_alone(spark):
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 2).astype(np.uint64) & np.uint64(0xFFFFFF00FFFFFF00)
+    one = base ^ (rng.integers(0, 2**63, (200, 2)).astype(np.uint64) & np.uint64(0x000000FF000000FF))
+    two = one ^ np.uint64(0x0002020000020200)  # two bits of each quarter, past the leading ones
+    prints = [(i + 1000 * k, int(a), int(b)) for k, f in enumerate((one, two)) for i, (a, b) in enumerate(f.view(np.int64))]
+    edges = nd.edges_of(spark.createDataFrame(prints, "idx long, f0 long, f1 long"), len(prints), 8, chunk=60).collect()
+    root = {i: i for i, _, _ in prints}
+    for a, b in edges:
+        a, b = root[a], root[b]
+        root = {k: a if v == b else v for k, v in root.items()}
+    assert [i for i in range(200) if root[i] != root[1000 + i]] == []

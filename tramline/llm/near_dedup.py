@@ -175,7 +175,7 @@ def edges_of(prints: DataFrame, n: int, distance: int = DISTANCE, chunk: int = C
     chunks = materialise(ordered.mapInArrow(cut, "q long, key long, bits long, lead long, ids binary, f binary"))
     light = chunks.select("q", "key", "bits", "lead")
     other = light.select(*[F.col(c).alias(f"{c}2") for c in light.columns])
-    differ = F.bit_count(F.expr("shiftrightunsigned(lead ^ lead2, cast(32 - least(bits, bits2) as int))"))
+    differ = F.bit_count(F.expr(f"shiftrightunsigned(lead ^ lead2, cast(32 - least(bits, bits2, {depth}) as int))"))
     pairs = light.join(other, (F.col("q") == F.col("q2")) & (F.col("key") <= F.col("key2")) & (differ <= slack)).select("q", "key", "key2")
     own = chunks.select("q", "key", "ids", "f")
     theirs = chunks.select("q", F.col("key").alias("key2"), F.col("ids").alias("ids2"), F.col("f").alias("f2"))
