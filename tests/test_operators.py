@@ -126,3 +126,11 @@ def test_direction_chain(spark):
     trips = spark.createDataFrame([("T1", 1), ("T3", None)], "trip_id string, direction_id int")
     got = segments.with_direction(rows, geometry, trips)
     assert got.columns and sorted((r["from_stop_id"], r["trip_id"], r["direction_id"]) for r in got.collect()) == [("A", "T1", 0), ("B", "T1", 1), ("B", "T2", 1), ("B", "T3", None)]
+
+
+def test_range_of_days_is_whole_or_an_error(spark):
+    rows = spark.createDataFrame([(date(2024, 3, 3), 2)], "day date, n int")
+    got = alerts.dense_daily(rows, "day", "2024-01-01", "2024-03-03", ["n"]).collect()
+    assert len(got) == 63 and {r["day"]: r["n"] for r in got}[date(2024, 3, 3)] == 2
+    with pytest.raises(ValueError):
+        alerts.dense_daily(rows, "day", "2024-01-01", "2024-03-04", ["n"])

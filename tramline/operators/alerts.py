@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,9 +85,11 @@ def summary(alerts: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def dense_daily(rows: DataFrame, day: str, first: str, last: str, values: list[str], most: int = 62) -> DataFrame:
-    """A10: a row for every day of the range (62 at most), zeros where there is none."""
+    """A10: a row for every day of the range, zeros where there is none. An error if its ends are over `most` days apart."""
+    if (date.fromisoformat(last) - date.fromisoformat(first)).days > most:
+        raise ValueError(f"Range too wide; max {most} days")
     spark = rows.sparkSession
-    days = spark.sql(f"SELECT explode(sequence(date'{first}', date'{last}')) AS {day}").limit(most)
+    days = spark.sql(f"SELECT explode(sequence(date'{first}', date'{last}')) AS {day}")
     sums = rows.groupBy(day).agg(*[F.sum(v).alias(v) for v in values])
     return days.join(sums, day, "left").fillna(0, values)
 
