@@ -32,7 +32,7 @@ def tokens(text: str | None) -> list[str]:
 
 def folded_words(text: str | None) -> list[bytes]:
     low = "".join(c.lower() if c.isascii() or (0xC0 <= ord(c) <= 0xDE and c != "×") else c for c in text or "")
-    return [w.encode() for w in re.split(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", low) if w]
+    return [w.encode() for w in re.findall("[\u3000-\U0010ffff]|[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f\u3000-\U0010ffff]+", low)]
 
 
 def fingerprint(text: str | None) -> int | None:
@@ -41,14 +41,16 @@ def fingerprint(text: str | None) -> int | None:
         return None
     count = Counter(words)
     if len(count) < 5:
-        own = len(words)
+        own, up = len(words), 1
         for w in words:
-            own = mix((own * 31 + word_hash(w)) & MASK)
+            own = (own + word_hash(w) * up) & MASK
+            up = up * 0xD6E8FEB86659FD93 & MASK
+        own = mix(own)
         both = [mix(own), mix(own ^ 0xA0761D6478BD642F)]
     else:
         votes, total = [0] * 128, 0
         for w, n in count.items():
-            weight = min(255, int(2 * len(w) * math.sqrt(n)))
+            weight = int(2 * len(w) * math.sqrt(n))
             h = word_hash(w)
             raw = h.to_bytes(8, "little") + mix(h ^ 0xA0761D6478BD642F).to_bytes(8, "little")
             for i in range(128):
@@ -165,11 +167,12 @@ def water(budget: float, weights: dict, caps: dict) -> dict:
     return out
 
 
-def mixture(docs: list[tuple], fraction: float, epochs: int, seed: str) -> Counter:
+def mixture(docs: list[tuple], fraction: float, epochs: int, seed: str, targets=None) -> Counter:
     """How often each (id, epoch) is chosen; docs: (id, text, lang, source)."""
     from tramline.llm import mixing as m
 
-    domain_of = {s: d for d, ss in m.DOMAINS.items() for s in ss}
+    targets = targets or m.DEFAULT
+    domain_of = {s: d for d, ss in targets.domains.items() for s in ss}
     leaves = defaultdict(list)
     for id_, text, lang, source in docs:
         if tokens(text):
@@ -181,11 +184,11 @@ def mixture(docs: list[tuple], fraction: float, epochs: int, seed: str) -> Count
     budget = sum(size.values()) * fraction
     quota: dict = {}
     domains = {k[0] for k in cap}
-    for d, b in water(budget, {d: m.DOMAIN_WEIGHTS.get(d, 0.05) for d in domains}, {d: sum(cap[k] for k in part(1, (d,))) for d in domains}).items():
+    for d, b in water(budget, {d: targets.domain_weights.get(d, targets.domain_other) for d in domains}, {d: sum(cap[k] for k in part(1, (d,))) for d in domains}).items():
         langs = {k[1] for k in part(1, (d,))}
-        for la, c in water(b, {x: m.LANG_WEIGHTS.get(x, m.LANG_OTHER) for x in langs}, {x: sum(cap[k] for k in part(2, (d, x))) for x in langs}).items():
+        for la, c in water(b, {x: targets.lang_weights.get(x, targets.lang_other) for x in langs}, {x: sum(cap[k] for k in part(2, (d, x))) for x in langs}).items():
             own = part(2, (d, la))
-            quota |= water(c, dict.fromkeys(own, 1.0), {k: cap[k] for k in own})
+            quota |= water(c, {k: targets.source_weights.get(k[2], targets.source_other) for k in own}, {k: cap[k] for k in own})
     out: Counter = Counter()
     for k, rows in leaves.items():
         whole, rest = divmod(math.floor(quota[k] + 1e-6), size[k])
@@ -216,5 +219,6 @@ def awkward() -> list[tuple]:
         (1, shared, "en", "src0", 1), (1, shared, "en", "src0", 1), (2, shared, "de", None, None), (3, None, "en", "src1", 0), (4, "", "en", "src1", 0),
         (5, "  \n\t ", None, "src2", 4), (6, "one", "fr", "src3", 3), (7, "one", "fr", "src3", 3), (None, "no id at all but words enough", "en", "src4", 9),
         (None, None, None, None, None), (8, long, "en", "src0", len(long)), (9, long + " end", "en", "src0", len(long)), (10, passage(3, 40) + " " + shared + " " + passage(4, 40), "es", "src9", 5),
-        (11, "Zażółć gęślą jaźń 漢字 😀 " * 3, "pl", "src12", 7), (12, passage(5, 200), "en", "src5", 1), (13, passage(5, 190) + " " + passage(6, 10), "en", "src6", 1),
+        (11, "Zażółć gęślą jaźń 漢字 😀 " * 3, "pl", "src12", 7), (14, "short words " * 5000 + "a" * 400 + " three four five six", "en", "src6", 1),
+        (15, "敏捷的棕色狐狸跳过了懒惰的狗，然后跑进了森林里面去寻找食物。" * 2, "zh", "src6", 1), (16, "敏捷的棕色狐狸跳过了懒惰的狗，然后跑进了森林里面去寻找食物！" * 2, "zh", "src6", 1), (12, passage(5, 200), "en", "src5", 1), (13, passage(5, 190) + " " + passage(6, 10), "en", "src6", 1),
     ]

@@ -49,11 +49,11 @@ def test_edges(spark, awkward, empty, labels, clash, rows):
     assert none.count() == awkward.select("text").distinct().count()
 
 
-def test_stage_keeps_whole_rows(spark, awkward, labels, clash, tmp_path, rows):
+def test_stage_keeps_whole_rows(spark, awkward, labels, clash, tmp_path, rows, whole):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     docs = clash(awkward)
     got = ed.stage(spark, docs, str(tmp_path))
-    assert got.columns == docs.columns
+    whole(got, docs)
     assert got.select("text").distinct().count() == got.count() == docs.select("text").distinct().count()
 
 

@@ -4,7 +4,7 @@ import pytest
 
 from tests.llm import brute
 from tramline.llm import near_dedup as nd
-from tramline.llm.common import table
+from tramline.llm.common import forest, table
 from tramline.llm.queries import QUERIES
 
 
@@ -24,34 +24,51 @@ def flipped(rng, f, n):
     return g
 
 
-@pytest.mark.parametrize("q", range(4))
-def test_exact_index_finds_all_pairs(q):
-    rng = np.random.default_rng(q)
-    base = rng.integers(0, 2**63, (300, 2)).astype(np.uint64)
-    f = np.concatenate([base, [flipped(rng, base[i], i % 40) for i in range(1, 300)]])
-    f = f[np.argsort(nd.quarter(f, q), kind="stable")]
-    want = {(i, j) for i in range(len(f)) for j in range(i + 1, len(f)) if int(np.bitwise_count(f[i] ^ f[j]).sum()) <= 24}
-    for depth in (0, 4, 9):
-        got = {(int(a), int(b)) for i, j in nd.near(f, f, q, depth, 32, 24, True) for a, b in zip(i, j)}
+def clustered(rng, n, apart):
+    """n fingerprints, half of them `apart` bits or fewer from one of the other half."""
+    base = rng.integers(0, 2**63, (n // 2, 2)).astype(np.uint64)
+    other = np.stack([flipped(rng, f, k) for f, k in zip(base, rng.integers(1, apart + 1, len(base)))])
+    return np.unique(np.concatenate([base, other]), axis=0)
+
+
+def all_pairs(f, distance):
+    return {(i, int(j)) for i in range(len(f)) for j in i + 1 + np.flatnonzero(np.bitwise_count(f[i + 1 :] ^ f[i]).sum(axis=1) <= distance)}
+
+
+def test_a_near_pair_keeps_to_one_part():
+    for distance in range(60):
+        most = nd.most_of(distance)
+        assert sum(m + 1 for m in most) == distance + 1 and max(most) - min(most) <= 1
+    assert nd.most_of(24) == [3, 2, 2, 2, 2, 2, 2, 2]
+
+
+@pytest.mark.parametrize("n, depths", [(300, (2, 5, 9)), (4000, (7, 10, 12, 14)), (12_000, (8, 13))])
+def test_index_finds_all_pairs_at_any_depth(n, depths):
+    f = clustered(np.random.default_rng(n), n, 40)
+    want = all_pairs(f, 24)
+    for depth in depths:
+        got = set()
+        for q in range(nd.PARTS):
+            order = np.argsort(nd.part(f, q), kind="stable")
+            for i, j in nd.near(f[order], f[order], q, depth, nd.most_of(24)[q], 24, True):
+                got |= {(min(a, b), max(a, b)) for a, b in zip(order[i].tolist(), order[j].tolist())}
         assert got == want
 
 
-def test_recall_of_the_pruned_index():
-    rng = np.random.default_rng(9)
-    n, depth = 20_000, nd.depth_of(300_000)
-    base = rng.integers(0, 2**63, (n, 2)).astype(np.uint64)
-    apart = rng.integers(1, 25, n)
-    other = np.stack([flipped(rng, f, k) for f, k in zip(base, apart)])
-    near = np.zeros(n, bool)
-    for q in range(4):
-        lead = np.uint64(32 - depth)
-        near |= np.bitwise_count((nd.quarter(base, q) ^ nd.quarter(other, q)) >> lead) <= max(1, -(-depth // 6))
-    assert near.mean() > 0.98 and near[apart == 24].mean() > 0.9
+@pytest.mark.parametrize("n, chunk", [(600, 60), (3000, 400)])
+def test_edges_lose_no_pair(spark, n, chunk):
+    f = clustered(np.random.default_rng(n + 1), n, 30)
+    f[: n // 10, 0] &= np.uint64(0x00000000FFFFFFFF)  # hot first parts
+    f = np.unique(f, axis=0)
+    prints = spark.createDataFrame([(i, *x) for i, x in enumerate(f.view(np.int64).tolist())], "idx long, f0 long, f1 long")
+    node, root = forest(*np.array(sorted(all_pairs(f, 24))).T)
+    got = nd.edges_of(prints, len(f), chunk=chunk).toPandas()
+    assert dict(zip(*(x.tolist() for x in forest(got.a.to_numpy(), got.b.to_numpy())))) == dict(zip(node.tolist(), root.tolist()))
 
 
 def test_groups_equal_brute_force(spark, awkward, rows, tiny, clash):
     docs = [(r[0], r[1]) for r in awkward.select("doc_id", "text").collect()]
-    got = [(-(2**63) if r[0] is None else r[0], r[1]) for r in nd.near_dedup(awkward, exact=True).collect()]
+    got = [(-(2**63) if r[0] is None else r[0], r[1]) for r in nd.near_dedup(awkward).collect()]
     assert sorted(got) == brute.near_groups(docs)
     assert rows(nd.near_dedup(clash(awkward))) == rows(nd.near_dedup(awkward))
 
@@ -71,10 +88,10 @@ def test_chunks_and_empty_table(spark, empty, rows):
     assert nd.near_dedup(empty).count() == 0
 
 
-def test_stage_keeps_whole_rows(spark, awkward, clash):
+def test_stage_keeps_whole_rows(spark, awkward, clash, whole):
     docs = clash(awkward)
     got = nd.stage(spark, docs, "")
-    assert got.columns == docs.columns
+    whole(got, docs)
     assert got.count() == nd.near_dedup(awkward).count()
 
 
@@ -90,3 +107,19 @@ def test_dense_chunks_are_compared_by_their_leading_bits_alone(spark):
         a, b = root[a], root[b]
         root = {k: a if v == b else v for k, v in root.items()}
     assert [i for i in range(200) if root[i] != root[1000 + i]] == []
+
+
+def test_the_least_of_repeated_rows_stays(spark):
+    docs = [(1, "same text of more than five words", "en", s, 1) for s in ("src7", "src2", None, "src5")]
+    for n in (1, 4):
+        got = nd.stage(spark, spark.createDataFrame(docs, brute.SCHEMA).repartition(n), "").collect()
+        assert [r["source"] for r in got] == [None]
+        got = nd.stage(spark, spark.createDataFrame(docs, brute.SCHEMA).filter("source is not null").repartition(n), "").collect()
+        assert [r["source"] for r in got] == ["src2"]
+
+
+def test_heavy_words_and_long_texts():
+    texts = ["word " * 200_000 + brute.passage(1, 50), brute.passage(2, 40_000), "la " * 100_000 + "lo", "la " * 100_000 + "lu"]
+    f, n = nd.fingerprints(pa.array(texts))
+    for t, (a, b) in zip(texts, f.tolist()):
+        assert brute.fingerprint(t) == a << 64 | b

@@ -47,9 +47,40 @@ def test_empty(empty):
 def test_query_packs_the_whole_table(spark, tiny):
     docs = [(r[0], r[1]) for r in table(spark, tiny, "documents").select("doc_id", "text").collect()]
     packs = check_packs([tuple(r) for r in QUERIES["op1_best_fit_packing"](spark, tiny).collect()], docs, packing.SEQ_LEN)
-    step = packing.SEQ_LEN // packing.UNITS
-    sizes = [-(-min(packing.SEQ_LEN, n - s * packing.SEQ_LEN) // step) for _, t in docs for n in [len(brute.tokens(t))] for s in range(max(1, -(-n // packing.SEQ_LEN))) if n]
-    assert len(packs) <= len(brute.best_fit_bins(sizes, packing.UNITS)) * 1.02 + 1
+    sizes = [min(packing.SEQ_LEN, n - s * packing.SEQ_LEN) for _, t in docs for n in [len(brute.tokens(t))] for s in range(max(1, -(-n // packing.SEQ_LEN))) if n]
+    assert len(packs) <= len(brute.best_fit_bins(sizes, packing.SEQ_LEN)) * 1.02 + 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_plan_follows_the_fit(seed):
+    """Every pattern pack has the classes of its pattern, as often as the fit says; no piece is lost or placed twice."""
+    rng = random.Random(seed)
+    seq_len, units = 256, 16
+    counts = Counter(min(seq_len, 1 + int(rng.expovariate(1 / 60))) for _ in range(5000))
+    runs, packs = packing.plan(counts, units, 3, seq_len)
+    filled, ranks = defaultdict(list), Counter()
+    for r in runs:
+        for rank in range(r.lo, r.hi):
+            filled[r.bin + (rank - r.lo) // r.per_bin].append((r.offset + (rank - r.lo) % r.per_bin * r.size, r.size))
+            ranks[r.size, rank] += 1
+    assert ranks == Counter((s, i) for s, k in counts.items() for i in range(k))
+    assert sorted(filled) == list(range(packs))
+    for places in filled.values():
+        places.sort()
+        assert places[0][0] == 0 and places[-1][0] + places[-1][1] <= seq_len and all(a + s <= b for (a, s), (b, _) in zip(places, places[1:]))
+    shapes = packing.patterns(units, 3)
+    a = np.array([[shape.count(k + 1) for shape in shapes] for k in range(units)], float)
+    b = np.array([sum(n for s, n in counts.items() if -(-s // 16) == k + 1) for k in range(units)], float)
+    weight = np.sqrt(np.arange(1, units + 1) / units)
+    x = packing.nnls(a * weight[:, None], b * weight / b.sum()) * b.sum()
+    left = Counter({k + 1: int(n) for k, n in enumerate(b)})
+    for j in sorted(np.flatnonzero(x > 0), key=lambda j: (-x[j], j)):
+        times = min(round(x[j]), *(left[s] // m for s, m in Counter(shapes[j]).items()))
+        same = sum(tuple(sorted((-(-s // 16) for _, s in p[: len(shapes[j])]), reverse=True)) == shapes[j] for p in filled.values())
+        assert same >= times
+        for s in shapes[j]:
+            left[s] -= times
+    assert packs <= 1.02 * len(brute.best_fit_bins(list(counts.elements()), seq_len)) + 1
 
 
 def test_patterns_and_nnls():
@@ -83,7 +114,7 @@ def test_best_fit_equals_one_by_one(seed):
 
 
 def test_shards_keep_groups_and_equal_brute_force(spark, awkward, clash, rows, tiny):
-    for docs, capacity in ((awkward, 4096), (table(spark, tiny, "documents"), 1 << 16)):
+    for docs, capacity in ((awkward, 4096), (awkward, 64), (table(spark, tiny, "documents"), 1 << 16)):
         got = rows(sharding.shard(docs, capacity, 16))
         texts = docs.select("doc_id", "text").collect()
         assert Counter(r[0] for r in got) == Counter(r[0] for r in texts)

@@ -43,6 +43,14 @@ def test_stages(spark, tiny):
     assert ids(corpus_pipeline.run(spark, tiny)) == ids(final)
 
 
+def test_columns_keep_their_values(spark, awkward, labels, clash, whole, tmp_path):
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    now = docs = clash(awkward)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = materialise(stage(spark, now, str(tmp_path)))
+        whole(now, docs)
+
+
 def test_awkward_and_empty(spark, awkward, empty, labels, clash, tmp_path):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     for docs in (clash(awkward), empty):

@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ def plain(text):
     raw, n = text.encode(), len(words)
     size = [len(w) for w in words]
     mean = sum(size) / n
-    count = {w: words.count(w) for w in set(words)}
+    count = Counter(words)
     letters = sum(chr(b).isalpha() if b < 128 else True for b in raw)
     stop, space = set(b".,;:?'\"-()"), set(b" \t\n\r")
     alnum = lambda b: b >= 128 or chr(b).isalnum()
@@ -32,7 +33,7 @@ def plain(text):
 
 
 def test_statistics_equal_plain_ones():
-    texts = [r[1] for r in brute.awkward() if r[0] not in (8, 9)] + ["A\nB b b C 12 $$ %", "...", "x"]
+    texts = [r[1] for r in brute.awkward()] + ["A\nB b b C 12 $$ %", "...", "x"]
     got = q.statistics(pa.array(texts))
     for t, row in zip(texts, got):
         want = plain(t) if t else None
@@ -53,6 +54,54 @@ def test_score_is_the_log_density_ratio():
     assert np.allclose(model.score(at), want)
 
 
+def plain_scores(docs, labels):
+    """(id, score) of every document with words, one by one; docs: (id, text); labels: (id, quality)."""
+    grade = {}
+    for id_, g in labels:
+        if g in (0, 1):
+            grade[id_] = min(g, grade.get(id_, 1))
+    rows = [(i, np.array(x)) for i, t in docs for x in [plain(t) if t else None] if x is not None]
+    own = {c: np.array([x for i, x in rows if grade.get(i) == c]) for c in (0, 1)}
+    n = {c: len(v) for c, v in own.items()}
+    cov = {c: np.cov(v.T, bias=True) for c, v in own.items()}
+    pooled = np.diag(sum(np.diag(cov[c]) * n[c] for c in (0, 1)) / sum(n.values()) + 1e-6)
+    out = []
+    for i, x in rows:
+        density = []
+        for c in (0, 1):
+            s = (1 - q.SHRINK) * cov[c] + (q.SHRINK + q.RIDGE) * pooled
+            d = x - own[c].mean(0)
+            density.append(math.log(n[c] / sum(n.values())) - 0.5 * np.linalg.slogdet(s)[1] - 0.5 * d @ np.linalg.solve(s, d))
+        out.append((i, density[1] - density[0]))
+    return out
+
+
+def test_whole_query_equals_brute_force(spark, tiny, awkward):
+    long = spark.createDataFrame([(10**6, brute.passage(3, 60_000), "en", "src0", 1), (10**6 + 1, "buy now!!! $$$ " * 20_000, "en", "src0", 1)], brute.SCHEMA)
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").unionByName(long).unionByName(awkward.withColumn("doc_id", awkward.doc_id + 2 * 10**6))
+    labels = spark.read.parquet(f"{tiny}/labels.parquet")
+    want = plain_scores([(r[0], r[1]) for r in docs.select("doc_id", "text").collect()], [(r[0], r[1]) for r in labels.select("doc_id", "quality").collect()])
+    want = sorted(((i, s) for i, s in want if s >= 0), key=repr)
+    got = sorted(map(tuple, q.classify(docs, labels).collect()), key=repr)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want])
+
+
+def test_a_bounded_sample_of_labels(spark, tiny):
+    docs, labels = (spark.read.parquet(f"{tiny}/{t}.parquet") for t in ("documents", "labels"))
+    ids, classes = q.labelled(labels, 50)
+    assert len(ids) == len(classes) == 50 and (np.diff(ids) > 0).all()
+    whole = {r[0] for r in q.classify(docs, labels).collect()}
+    part = {r[0] for r in q.classify(docs, labels, 100).collect()}
+    assert len(whole & part) > 0.9 * len(whole)
+
+
+def test_a_text_of_50_megabytes():
+    text = brute.passage(4, 10_000) * 900
+    x = q.statistics(pa.array([text, "x"]))
+    assert len(text) > 50_000_000 and np.isclose(x[0, 0], math.log1p(len(brute.tokens(text))))
+
+
 def test_held_out_accuracy(spark):
     path = DATA / "sf0.1"
     if not path.exists():
@@ -68,13 +117,13 @@ def test_held_out_accuracy(spark):
     assert sum(i in kept for i in good) / len(good) > 0.99
 
 
-def test_edges(spark, awkward, empty, labels, clash, rows, tmp_path):
+def test_edges(spark, awkward, empty, labels, clash, rows, tmp_path, whole):
     assert q.classify(empty, labels).count() == 0
     got = rows(q.classify(awkward, labels))
     assert rows(q.classify(clash(awkward), labels)) == got
     unlabelled = rows(q.classify(awkward, labels.filter("quality = 1")))
-    assert len(unlabelled) == 12 and all(r[1] is None for r in unlabelled)  # every text with words
+    assert len(unlabelled) == 15 and all(r[1] is None for r in unlabelled)  # every text with words
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     stage = q.stage(spark, clash(awkward), str(tmp_path))
-    assert stage.columns == clash(awkward).columns
+    whole(stage, clash(awkward))
     assert sorted((r[0] for r in stage.select("doc_id").collect()), key=repr) == sorted((r[0] for r in got), key=repr)

@@ -70,13 +70,17 @@ class CapacityTree:
         return i - self.width
 
 
-def best_fit(counts: dict[int, int], capacity: int, first_bin: int = 0, done: dict[int, int] | None = None) -> tuple[list[Run], int]:
+def best_fit(counts: dict[int, int], capacity: int, first_bin: int = 0, done: dict[int, int] | None = None, open_bins: list[tuple[int, int, int]] | None = None) -> tuple[list[Run], int]:
     """Runs that place counts[size] items of every size > 0, and the next free bin.
 
+    open_bins: (remaining capacity, first bin, number of bins) of bins that are filled from their beginning up to that.
+
     Sizes go in decreasing order, each item to the bin with the least remaining capacity that holds it.
     An item above the capacity has a bin of its own. done[size]: items already placed, whose ranks come first.
     """
     tree, runs, next_bin = CapacityTree(capacity), [], first_bin
+    for room, bin_, n in open_bins or ():
+        tree.push(room, bin_, n)
     for size in sorted((s for s, n in counts.items() if n > 0), reverse=True):
         left, rank = counts[size], (done or {}).get(size, 0)
         if size > capacity:

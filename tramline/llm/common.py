@@ -33,12 +33,17 @@ def work_dir(spark: SparkSession) -> str:
     return "file://" + _own_dirs[context.applicationId]
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """df as a table written to the shared folder: computed once, and safe when an executor is lost."""
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """df as a table in the shared folder, and its path."""
     spark = df.sparkSession
     path = f"{work_dir(spark)}/tramline-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """df as a table written to the shared folder: computed once, and safe when an executor is lost."""
+    return written(df)[0]
 
 
 def token_count(text: Column | str) -> Column:
@@ -91,38 +96,52 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes an intermediate table that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): the least node of each component, for every node that isn't one itself.
 
     edges: (a, b) of long. Large-star and small-star rounds, each written to the shared folder, until
-    nothing changes; the number of rounds grows with the logarithm of the largest component.
+    nothing changes; the number of rounds grows with the logarithm of the largest component. The least neighbour
+    is an aggregate, combined before its shuffle, and joined back, so that a hot node's edges are never sorted in one task.
     """
-    now = materialise(
-        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    )
+    spark = edges.sparkSession
+    pairs = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now, path = written(pairs)
     mark = None
-    for _ in range(most_rounds):
+    while True:
         both = now.select("a", "b").union(now.select(F.col("b"), F.col("a")))
-        low = F.least(F.min("b").over(W.partitionBy("a")), F.col("a"))
-        large = both.withColumn("m", low).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
-        low = F.min("b").over(W.partitionBy("a"))
-        small = large.withColumn("m", low)
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
-        now = materialise(small.filter("a <> b").distinct())
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m"))
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large, large_path = written(large)
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+        after, next_path = written(small.filter("a <> b").distinct())
+        discard(spark, path)
+        discard(spark, large_path)
+        now, path = after, next_path
         is_now = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if is_now == mark or not is_now[0]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         mark = is_now
-    raise RuntimeError("components did not settle")
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame, mark: Column, repeats: bool) -> DataFrame:
-    """The rows of docs whose (id, mark) is in kept (__id, __mark); one row of several equal ones if `repeats`."""
-    columns = docs.columns
-    rows = docs.withColumns({"__id": id_key(), "__mark": mark})
+    """The rows of docs whose (id, mark) is in kept (__id, __mark).
+
+    If `repeats`, of several rows of one (id, mark) the least stays, compared column by column (a map as JSON text); rows
+    that are equal in all columns are interchangeable. Columns are renamed by position, so no name of theirs clashes.
+    """
+    own = [f"__c{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)], id_key().alias("__id"), mark.alias("__mark"))
     rows = rows.join(kept.select("__id", "__mark"), ["__id", "__mark"], "left_semi")
     if repeats:
-        place = F.row_number().over(W.partitionBy("__id", "__mark").orderBy("__id"))
+        order = [F.to_json(F.struct(c)) if "map<" in kind or kind == "variant" else F.col(c) for c, kind in rows.select(*own).dtypes]
+        place = F.row_number().over(W.partitionBy("__id", "__mark").orderBy(*order))
         rows = rows.withColumn("__place", place).filter("__place = 1")
-    return rows.select(*[f"`{c}`" for c in columns])
+    return rows.select(*own).toDF(*docs.columns)

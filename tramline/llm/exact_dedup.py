@@ -173,7 +173,12 @@ def exact_dedup(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of docs that exact_dedup keeps."""
+    """The rows of docs that exact_dedup keeps, with all of their columns.
+
+    Null texts are alike, as are empty ones. Of rows with the same id and text the least in all columns stays (see
+    keep_rows); among ids the history's winner, else the least, null first. An empty table gives no rows; no column's
+    name can clash.
+    """
     rows = digests(docs)
     kept = materialise(winners(rows, labelled(rows, table(spark, sf_dir, "labels"))).withColumn("__mark", F.col("__digest")))
     again = rows.groupBy("__digest", "__id").count().filter("count > 1").limit(1).count() > 0

@@ -7,115 +7,129 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_key, materialise
+from .textvec import U, buffers, mix, pieces, words
 
 LEADING, ALIKE, MIN_DOCS = 3, 0.8, 10
 FIELD = "<*>"
-DIGITS = re.compile(r"[0-9]+")
 STRIP = " \t\r"
+NOTHING, BLANKS = np.zeros(256, bool), np.zeros(256, bool)
+BLANKS[[9, 13, 32]] = True
 
 
 def tokens_of(line: str) -> list[str]:
     return [t for t in re.split(r"[ \t\r]+", line) if t]
 
 
-def hash_of(text: str) -> int:
-    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
-
-
-def leaf_of(line: str, leading: int) -> int:
-    """The leaf of the tree: token count, then the leading tokens."""
-    tokens = tokens_of(line)
-    return hash_of("\x00".join([str(len(tokens)), *tokens[:leading]]))
+def leaves_of(lines: pa.Array, leading: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each line, none of them blank: its hash, its leaf (a hash of the leading tokens) and its number of tokens."""
+    data, offsets = buffers(lines)
+    h, leaf, n = np.zeros(len(lines), np.int64), np.zeros(len(lines), np.int64), np.zeros(len(lines), np.int64)
+    for i, j in pieces(offsets):
+        raw, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+        h[i:j] = words(raw, at, NOTHING)[0].view(np.int64)
+        token, _, _, first = words(raw, at, BLANKS)
+        n[i:j] = np.diff(first)
+        own = np.zeros(j - i, U)
+        for k in range(leading):
+            has = n[i:j] > k
+            own[has] = mix(own[has] ^ token[first[:-1][has] + k])
+        leaf[i:j] = own.view(np.int64)
+    return h, leaf, n
 
 
 def lines_of(leading: int):
-    """Batches of (__id, text) to rows (__id, line_no, h, leaf, line); `line` only where a batch has it first."""
+    """Batches of (__id, text) to rows (__id, line_no, h, leaf, n, line); `line` only where a batch has it first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("__id", pa.int64()), ("line_no", pa.int64()), ("h", pa.int64()), ("leaf", pa.int64()), ("line", pa.string())])
         for batch in batches:
-            known: dict[str, tuple[int, int]] = {}
-            out: list[tuple] = []
-            for id_, text in zip(batch.column("__id").to_pylist(), batch.column("text").to_pylist()):
-                for no, raw in enumerate((text or "").split("\n")):
-                    line = DIGITS.sub(FIELD, raw.strip(STRIP))
-                    if not line:
-                        continue
-                    found = known.get(line)
-                    if found:
-                        out.append((id_, no, *found, None))
-                    else:
-                        known[line] = found = hash_of(line), leaf_of(line, leading)
-                        out.append((id_, no, *found, line))
-            columns = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            split = pc.split_pattern(pc.fill_null(batch.column("text"), ""), "\n").cast(pa.large_list(pa.large_string()))
+            offsets = split.offsets.to_numpy()
+            flat = pc.replace_substring_regex(pc.utf8_trim(split.flatten(), STRIP), "[0-9]+", FIELD)
+            count = np.diff(offsets)
+            no = np.arange(len(flat)) - np.repeat(offsets[:-1] - offsets[0], count)
+            ids = np.repeat(batch.column("__id").to_numpy(), count)
+            filled = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+            coded = flat.filter(pa.array(filled)).dictionary_encode()
+            code = coded.indices.to_numpy()
+            h, leaf, n = leaves_of(coded.dictionary, leading)
+            first = np.ones(len(code), bool)
+            first[np.unique(code, return_index=True)[1]] = False
+            lines = pc.if_else(pa.array(first), pa.scalar(None, pa.large_string()), coded.dictionary.take(coded.indices))
+            yield pa.RecordBatch.from_pydict({"__id": ids[filled], "line_no": no[filled], "h": h[code], "leaf": leaf[code], "n": n[code], "line": lines.cast(pa.string())})
 
     return run
 
 
-def templates(lines: list[str], alike: float) -> list[int]:
-    """The template's number of each line of one leaf (all of one length), in the order given.
+class Leaf:
+    """The templates of one leaf, whose lines all have `width` tokens.
 
     A line joins the template with the largest share of equal tokens if that is at least `alike` (the first of
     equal ones), whose other tokens become variable fields; else it starts a template.
+
+    Of a line and a template that are alike, at most `spare` tokens differ, none of them a leading one. So if the other
+    tokens are dealt to spare + 1 hands, one hand is the same in both: only templates that share a hand are compared.
     """
-    words: dict[str, int] = {FIELD: 0}
-    rows = np.array([[words.setdefault(t, len(words)) for t in tokens_of(x)] for x in lines], np.int32)
-    width = rows.shape[1]
-    table = np.empty_like(rows)
-    n, found = 0, []
-    for row in rows:
-        if n:
-            equal = (table[:n] == row).sum(axis=1)
-            best = int(np.argmax(equal))
-            if equal[best] >= alike * width:
-                table[best][table[best] != row] = 0
-                found.append(best)
-                continue
-        table[n] = row
-        found.append(n)
-        n += 1
-    return found
-
-
-def generalised(alike: float):
-    """Lines sorted by leaf and text to rows (h, template) for those whose template isn't the line alone."""
-
-    def leaf(lines: list[str], hashes: list[int]) -> list[tuple[int, int]]:
-        if len(lines) < 2:
-            return []
-        found = templates(lines, alike)
-        size = np.bincount(found)
-        head: dict[int, int] = {}
-        for t, h in zip(found, hashes):
-            head.setdefault(t, h)
-        return [(h, head[t]) for t, h in zip(found, hashes) if size[t] > 1]
+
+    def __init__(self, width: int, leading: int, alike: float):
+        self.least = alike * width
+        spare = width - int(np.ceil(self.least - 1e-9))
+        tail = range(min(leading, width), width)
+        self.hands = [list(tail[k :: spare + 1]) for k in range(min(spare + 1, max(1, len(tail))))] if spare < len(tail) else None
+        self.known: list[dict] = [{} for _ in self.hands or ()]
+        self.made: list[list[str]] = []
+        self.heads: list[int] = []
+
+    def near(self, row: list[str]) -> Iterator[int] | set[int]:
+        if self.hands is None:
+            return range(len(self.made))
+        return {t for hand, known in zip(self.hands, self.known) for t in known.get(tuple(row[i] for i in hand), ())}
+
+    def learn(self, t: int) -> None:
+        row = self.made[t]
+        for hand, known in zip(self.hands or (), self.known):
+            at = known.setdefault(tuple(row[i] for i in hand), [])
+            if t not in at[-1:]:
+                at.append(t)
+
+    def head(self, line: str, h: int) -> int:
+        """The hash of the first line of the template that this one joins."""
+        row = tokens_of(line)
+        best, most = -1, -1
+        for t in self.near(row):
+            same = sum(map(str.__eq__, self.made[t], row))
+            if same > most or same == most and t < best:
+                best, most = t, same
+        if best >= 0 and most >= self.least:
+            if most < len(row):
+                self.made[best] = [a if a == b else FIELD for a, b in zip(self.made[best], row)]
+                self.learn(best)
+            return self.heads[best]
+        self.made.append(row)
+        self.heads.append(h)
+        self.learn(len(self.made) - 1)
+        return h
+
+
+def generalised(leading: int, alike: float):
+    """Lines sorted by leaf, number of tokens and text to rows (h, template) where the template began with another line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, lines, hashes = None, [], []
+        now, leaf, last = None, None, None
         for batch in batches:
             out: list[tuple[int, int]] = []
-            leaves = batch.column("leaf").to_numpy()
-            h, text = batch.column("h").to_numpy(), batch.column("line")
-            cut = np.flatnonzero(np.concatenate([[True], leaves[1:] != leaves[:-1], [True]])) if len(leaves) else []
-            for i, j in zip(cut, cut[1:]):
-                if leaves[i] != now:
-                    out += leaf(lines, hashes)
-                    now, lines, hashes = leaves[i], [], []
-                elif j - i == 1 and hashes and hashes[-1] == h[i]:
-                    continue
-                for line, x in zip(text.slice(i, j - i).to_pylist(), h[i:j].tolist()):
-                    if not hashes or hashes[-1] != x:
-                        lines.append(line)
-                        hashes.append(x)
+            for key, n, h, line in zip(*(batch.column(c).to_pylist() for c in ("leaf", "n", "h", "line"))):
+                if (key, n) != now:
+                    now, leaf, last = (key, n), Leaf(n, leading, alike), None
+                if line != last:
+                    head, last = leaf.head(line, h), line
+                    if head != h:
+                        out.append((h, head))
             yield pa.RecordBatch.from_pydict({"h": pa.array([x[0] for x in out], pa.int64()), "template": pa.array([x[1] for x in out], pa.int64())})
-        out = leaf(lines, hashes)
-        yield pa.RecordBatch.from_pydict({"h": pa.array([x[0] for x in out], pa.int64()), "template": pa.array([x[1] for x in out], pa.int64())})
 
     return run
 
@@ -124,22 +138,38 @@ def line_dedup(docs: DataFrame, leading: int = LEADING, alike: float = ALIKE, mi
     """(doc_id, line_no, template_docs): the lines to drop, whose template occurs in min_docs documents or more.
 
     Digits become fields first. The tree parses a line by its number of tokens and its `leading` first tokens; in
-    a leaf, distinct lines in order of their text join templates as in `templates`. A template's documents
+    a leaf, distinct lines in order of their text join templates as in Leaf. A template's documents
     are counted exactly over the corpus, each id once.
 
-    Only distinct lines travel as text, by leaf; counting and dropping use hashes.
+    Only distinct lines travel as text, by leaf; counting and dropping use hashes. A leaf's lines stream through one task,
+    which holds its templates and not its lines.
 
     line_no counts the text's lines, split at newlines, from 0. Blank lines are never dropped; null and empty
     texts have none. Rows of the same doc_id (null is one, too) count as one document, and a line of repeated
     rows is listed once. Other columns don't matter. An empty table gives no rows.
     """
     rows = docs.select(id_key().alias("__id"), "text")
-    lines = materialise(rows.mapInArrow(lines_of(leading), "__id long, line_no long, h long, leaf long, line string"))
-    distinct = lines.filter("line is not null").select("leaf", "h", "line").repartition("leaf").sortWithinPartitions("leaf", "line")
-    merged = distinct.mapInArrow(generalised(alike), "h long, template long").withColumnRenamed("h", "__h")
+    lines = materialise(rows.mapInArrow(lines_of(leading), "__id long, line_no long, h long, leaf long, n long, line string"))
+    distinct = lines.filter("line is not null").select("leaf", "n", "h", "line").repartition("leaf").sortWithinPartitions("leaf", "n", "line")
+    merged = distinct.mapInArrow(generalised(leading, alike), "h long, template long").withColumnRenamed("h", "__h")
     places = lines.select("__id", "line_no", "h").join(merged, F.col("h") == F.col("__h"), "left")
     places = materialise(places.select("__id", "line_no", F.coalesce("template", "h").alias("template")).distinct())
     counts = places.select("template", "__id").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("template_docs"))
     recurring = counts.filter(F.col("template_docs") >= min_docs)
     found = places.join(recurring, "template")
     return found.select(F.nullif("__id", F.lit(-(2**63))).alias("doc_id"), "line_no", "template_docs")
+
+
+def without_lines(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """docs without the lines `dropped` (doc_id, line_no) of their texts.
+
+    A text that loses nothing stays as it is; a null one stays null. Rows of one doc_id lose the same line numbers, as
+    line_dedup lists them for the id; null is an id like any. All columns of docs are returned.
+    """
+    own = [f"__c{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)], id_key().alias("__id"), F.col("text").alias("__text"))
+    cuts = dropped.groupBy(id_key().alias("__id")).agg(F.collect_set("line_no").alias("__cuts"))
+    rows = rows.join(cuts, "__id", "left")
+    left = F.filter(F.split("__text", "\n"), lambda t, i: ~F.array_contains("__cuts", i.cast("long")))
+    text = F.when(F.col("__cuts").isNull(), F.col("__text")).otherwise(F.array_join(left, "\n"))
+    return rows.select(*[text.alias(c) if c == "text" else F.col(o).alias(c) for c, o in zip(docs.columns, own)])

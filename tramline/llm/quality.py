@@ -9,11 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_key, materialise, table
+from .common import id_key, table
 from .textvec import WORD_GAP, buffers, counted, fold, pieces, words
 
 FEATURES = 13
 SHRINK, RIDGE = 0.1, 1e-3
+MOST_LABELS = 500_000
 
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
@@ -41,16 +42,16 @@ def statistics(texts: pa.Array) -> np.ndarray:
     out = np.full((len(offsets) - 1, FEATURES), np.nan)
     for i, j in pieces(offsets):
         raw, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-        hashes, start, end, first = words(fold(raw), at, WORD_GAP)
+        hashes, start, end, first = words(fold(raw), at, WORD_GAP, True)
         n = np.diff(first).astype(float)
         if not n.sum():
             continue
         size = np.diff(at).astype(float)
 
         def share(of: np.ndarray, by: np.ndarray) -> np.ndarray:
-            sums = np.zeros(len(raw) + 1, np.int64)
-            np.cumsum(of[raw], out=sums[1:])
-            return np.diff(sums[at]) / np.maximum(by, 1)
+            sums, filled = np.zeros(j - i), at[:-1] < at[1:]
+            sums[filled] = np.add.reduceat(of[raw], at[:-1][filled], dtype=np.int64)
+            return sums / np.maximum(by, 1)
 
         def per_text(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
             sums = np.concatenate([[0], np.cumsum(values)])
@@ -119,36 +120,38 @@ def fit(moments: dict[int, np.ndarray], shrink: float = SHRINK, ridge: float = R
     return Discriminant(means, (1 - shrink) * own + (shrink + ridge) * pooled, n)
 
 
-def feature_rows(docs: DataFrame) -> DataFrame:
-    """(__id, x); x is null for a text without words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = statistics(batch.column("text"))
-            flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), FEATURES).cast(pa.list_(pa.float64()))
-            flat = pa.ListArray.from_arrays(flat.offsets, flat.values, mask=pa.array(np.isnan(x[:, 0])))
-            yield pa.RecordBatch.from_pydict({"__id": batch.column("__id"), "x": flat})
+def labelled(labels: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ids and their classes: all labelled documents, or if there are more than `most` those first by a hash of the id."""
+    graded = labels.filter("quality in (0, 1)").groupBy(id_key().alias("__id")).agg(F.min("quality").cast("long").alias("__class"))
+    found = graded.orderBy(F.xxhash64("__id"), "__id").limit(most).toArrow()  # at most 16 bytes times `most`
+    ids, classes = (found.column(c).to_numpy() for c in ("__id", "__class"))
+    order = np.argsort(ids)
+    return ids[order], classes[order]
 
-    return docs.select(id_key().alias("__id"), "text").mapInArrow(run, "__id long, x array<double>")
 
+def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Discriminant | None:
+    """Fitted on the labelled documents among docs: the sums of either class are added up in Spark.
 
-def train(features: DataFrame, labels: DataFrame) -> Discriminant | None:
-    """Fitted on every labelled document: the sums of either class are added up in Spark."""
-    graded = labels.filter("quality in (0, 1)").groupBy(id_key().alias("__id")).agg(F.min("quality").cast("long").alias("__class"))
-    rows = features.filter("x is not null").join(graded, "__id")
+    Only labelled texts are worked on, and no text is shuffled: the ids of at most `most` labels go to every task.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(labelled(labels, most))
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, classes = shared.value
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, c = batch.column("x").flatten().to_numpy().reshape(-1, FEATURES), batch.column("__class").to_numpy()
+            ids = batch.column("__id").to_numpy()
+            at = np.minimum(np.searchsorted(known, ids), max(0, len(known) - 1))
+            hit = known[at] == ids if len(known) else np.zeros(len(ids), bool)
+            x, c = statistics(batch.column("text").filter(pa.array(hit))), classes[at[hit]] if len(known) else at[:0]
+            filled = ~np.isnan(x[:, 0])
             for k in (0, 1):
-                own = x[c == k]
+                own = x[filled & (c == k)]
                 total[k] = total.get(k, 0) + np.concatenate([[len(own)], own.sum(axis=0), (own.T @ own).ravel()])
         yield pa.RecordBatch.from_pydict({"__class": pa.array(list(total), pa.int64()), "m": pa.array([list(v) for v in total.values()], pa.list_(pa.float64()))})
 
-    sums = rows.mapInArrow(part, "__class long, m array<double>")
+    sums = docs.select(id_key().alias("__id"), "text").mapInArrow(part, "__class long, m array<double>")
     sums = sums.select("__class", F.posexplode("m").alias("__at", "__v")).groupBy("__class", "__at").agg(F.sum("__v").alias("__v"))
     moments: dict[int, np.ndarray] = {}
     for c, at, v in sums.collect():  # two classes of 1 + FEATURES + FEATURES**2 numbers
@@ -156,31 +159,40 @@ def train(features: DataFrame, labels: DataFrame) -> Discriminant | None:
     return fit(moments)
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> DataFrame:
     """(doc_id, score) of the documents that the classifier keeps: those with a score of 0 or more.
 
-    It is fitted on all labelled documents (quality 1 or 0; the lower of several labels of one id counts).
+    It is fitted on all labelled documents (quality 1 or 0; the lower of several labels of one id counts), or on
+    `most` of them, chosen by a hash of the id, if there are more. Every document is scored, over its whole text.
+
     A null, empty or wordless text is rejected. Unless both classes have two documents there is no
     classifier: every text with words is kept, with a null score. Repeated rows are scored each; a null doc_id is kept
-    and has no label unless one is null, too. Other columns don't matter. An empty table gives no rows.
+    and has no label unless one is null, too. A score of 0, a tie, is kept. Very long texts are worked through in
+    blocks. Other columns don't matter. An empty table gives no rows.
     """
-    features = materialise(feature_rows(docs))
-    model = train(features, labels)
-    rows = features.filter("x is not null").select(F.nullif("__id", F.lit(-(2**63))).alias("doc_id"), "x")
-    if model is None:
-        return rows.select("doc_id", F.lit(None).cast("double").alias("score"))
+    model = train(docs, labels, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = model.score(batch.column("x").flatten().to_numpy().reshape(-1, FEATURES))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "score": pa.array(score)}).filter(pa.array(score >= 0))
+            x = statistics(batch.column("text"))
+            filled = ~np.isnan(x[:, 0])
+            score = np.full(len(x), np.nan)
+            if model is not None:
+                score[filled] = model.score(x[filled])
+                filled &= ~(score < 0)
+            out = pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "score": pa.array(score, mask=np.isnan(score))})
+            yield out.filter(pa.array(filled))
 
-    return rows.mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of docs that `classify` keeps. Texts are read twice, once to fit and once to filter, and never shuffled."""
-    model = train(feature_rows(docs), table(spark, sf_dir, "labels"))
+    """The rows of docs that `classify` keeps, with all of their columns.
+
+    Texts are read twice, once to fit on the labelled ones and once to filter, and never shuffled. Null, empty and wordless
+    texts go; repeated rows are judged each and stay or go together; an empty table gives no rows; no column's name can clash.
+    """
+    model = train(docs, table(spark, sf_dir, "labels"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -16,7 +16,7 @@ def shard(docs: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> DataFr
 
     Groups enter by decreasing size the shard with the least remaining room that holds them, found in a
     balanced tree of remaining capacities. Sizes are bytes of UTF-8, rounded up to `unit`, so the driver sees a
-    histogram of at most capacity / unit sizes and some runs of equal ones, however many groups there are.
+    histogram of at most capacity / unit + 1 sizes and some runs of equal ones, however many groups there are.
 
     A group above the capacity has a shard of its own. Null texts form one group, as do empty ones; both count as
     one unit. Every row, repeated or with a null doc_id, is returned. Groups of equal size go by text
@@ -25,7 +25,8 @@ def shard(docs: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> DataFr
     rows = docs.select("doc_id", F.md5("text").alias("__digest"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("__bytes"))
     rows = materialise(rows.withColumn("__digest", F.coalesce("__digest", F.lit(""))))
     groups = rows.groupBy("__digest").agg(F.sum("__bytes").alias("group_bytes"))
-    groups = materialise(groups.withColumn("__u", F.greatest(F.ceil(F.col("group_bytes") / unit), F.lit(1)).cast("long")))
+    units = F.least(F.greatest(F.ceil(F.col("group_bytes") / unit), F.lit(1)), F.lit(capacity // unit + 1))  # all too large are alike
+    groups = materialise(groups.withColumn("__u", units.cast("long")))
     counts = {r[0]: r[1] for r in groups.groupBy("__u").count().collect()}
     runs, _ = best_fit(counts, capacity // unit)
     groups = placed(docs.sparkSession, ranked(groups, "__u", ["__digest"], max(counts.values(), default=0)), "__u", runs)

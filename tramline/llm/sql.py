@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .mixing import DOMAIN_WEIGHTS, DOMAINS, EPOCHS, FRACTION, LANG_OTHER, LANG_WEIGHTS, OTHER_DOMAIN, SEED
+from .mixing import DEFAULT, EPOCHS, FRACTION, OTHER_DOMAIN, SEED
 from .substring_dedup import WIDTH
-from .url_filter import DEEPEST, LISTED
+from .url_filter import LISTED
 from .vector_dedup import COSINE
 
 BLANK = "' ' || chr(9) || chr(10) || chr(13)"
@@ -20,7 +20,7 @@ WITH a AS (SELECT page_id, url, regexp_replace(regexp_replace(lower(coalesce(url
 b AS (SELECT page_id, url, regexp_replace(regexp_replace(r, '^[^/@]*@', ''), '/+$', '') AS r FROM a),
 c AS (SELECT page_id, url, r, regexp_replace(regexp_replace(string_split(r, '/')[1], ':[0-9]*$', ''), '\.+$', '') AS h FROM b),
 d AS (SELECT page_id, url, r, string_split(h, '.') AS l FROM c),
-e AS (SELECT page_id, url, list_append(list_transform(range(1, greatest(1, least({DEEPEST}, len(l) - 1)) + 1), lambda i: array_to_string(l[i:], '.')), r) AS k FROM d)
+e AS (SELECT page_id, url, list_append(list_transform(range(1, greatest(1, len(l) - 1) + 1), lambda i: array_to_string(l[i:], '.')), r) AS k FROM d)
 SELECT page_id, url, list_has_any(k, [{", ".join(f"'{x}'" for x in LISTED)}]) AS listed FROM e
 """
 
@@ -39,7 +39,7 @@ WITH d AS (SELECT doc_id, md5(text) AS h, doc_id IN (SELECT doc_id FROM labels)
 SELECT coalesce(min(doc_id) FILTER (known), min(doc_id)) AS doc_id FROM d GROUP BY h
 """
 
-_domain = "CASE " + " ".join(f"WHEN source IN ({', '.join(repr(s) for s in v)}) THEN '{k}'" for k, v in DOMAINS.items()) + f" ELSE '{OTHER_DOMAIN}' END"
+_domain = "CASE " + " ".join(f"WHEN source IN ({', '.join(repr(s) for s in v)}) THEN '{k}'" for k, v in DEFAULT.domains.items()) + f" ELSE '{OTHER_DOMAIN}' END"
 
 
 def _fill(name: str, rows: str, parent: str, keys: str) -> str:
@@ -56,9 +56,9 @@ MIXING = f"""
 WITH base AS (SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang, len({TOKENS}) AS n FROM documents WHERE trim(text, {BLANK}) <> ''),
 rows_ AS (SELECT *, {_domain} AS domain FROM base),
 leaf AS (SELECT domain, lang, source, sum(n)::BIGINT AS n FROM rows_ GROUP BY ALL),
-l0 AS (SELECT domain, sum(n::DOUBLE * {EPOCHS}) AS c, (SELECT sum(n) FROM leaf)::DOUBLE * {FRACTION} AS b, ({case("domain", DOMAIN_WEIGHTS, 0.05)})::DOUBLE AS w, 0 AS root FROM leaf GROUP BY domain),
+l0 AS (SELECT domain, sum(n::DOUBLE * {EPOCHS}) AS c, (SELECT sum(n) FROM leaf)::DOUBLE * {FRACTION} AS b, ({case("domain", DEFAULT.domain_weights, DEFAULT.domain_other)})::DOUBLE AS w, 0 AS root FROM leaf GROUP BY domain),
 {_fill("d", "l0", "root", "domain")},
-l1 AS (SELECT domain, lang, sum(n::DOUBLE * {EPOCHS}) AS c, any_value(d.s) AS b, any_value(({case("lang", LANG_WEIGHTS, LANG_OTHER)})::DOUBLE) AS w FROM leaf JOIN d USING (domain) GROUP BY domain, lang),
+l1 AS (SELECT domain, lang, sum(n::DOUBLE * {EPOCHS}) AS c, any_value(d.s) AS b, any_value(({case("lang", DEFAULT.lang_weights, DEFAULT.lang_other)})::DOUBLE) AS w FROM leaf JOIN d USING (domain) GROUP BY domain, lang),
 {_fill("e", "l1", "domain", "lang")},
 l2 AS (SELECT domain, lang, source, n, n::DOUBLE * {EPOCHS} AS c, e.s AS b, 1.0::DOUBLE AS w FROM leaf JOIN e USING (domain, lang)),
 {_fill("f", "l2", "domain, lang", "source")},

@@ -11,7 +11,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from . import lookup
 from .common import materialise
 from .lookup import BROADCAST_BYTES
 from .textvec import mix
@@ -26,7 +28,6 @@ LISTED = (
     "free-bets.example.net",
 )
 PER_SHARD = 500_000
-DEEPEST = 6  # only the SQL stops there
 
 
 class Cascade:
@@ -149,7 +150,8 @@ def url_filter(pages: DataFrame, listed: DataFrame | None = None, per_shard: int
 
     The cascade is built over all distinct keys of the corpus and the list, in shards by hash, and is therefore
     exact for every page; pages are never joined or shuffled while its size, which is checked, is at most
-    most_broadcast bytes. Beyond it each shard's cascade goes to the task of that shard's distinct keys.
+    most_broadcast bytes. Beyond it each shard's cascade meets that shard's keys in tasks, and what they find is added
+    up by row; a hot key's shard is dealt to several tasks.
 
     A null or blank URL has no key and isn't listed. Every row, repeated or with a null page_id, is
     returned. Keys are lower case, without scheme, user, port, query, fragment and trailing slashes. Other columns
@@ -158,7 +160,7 @@ def url_filter(pages: DataFrame, listed: DataFrame | None = None, per_shard: int
     spark = pages.sparkSession
     if listed is None:
         listed = spark.createDataFrame([(k,) for k in LISTED], "__key string")
-    rows = materialise(with_keys(pages))
+    rows = materialise(with_keys(pages).withColumn("__uid", F.monotonically_increasing_id()))
     index, shards = cascade_index(rows.select("__h"), listed, per_shard)
     if (index.agg(F.sum(F.octet_length("__blob"))).first()[0] or 0) <= most_broadcast:
         shared = spark.sparkContext.broadcast({r[0]: bytes(r[1]) for r in index.collect()})
@@ -172,16 +174,15 @@ def url_filter(pages: DataFrame, listed: DataFrame | None = None, per_shard: int
                     yes[row[at][load(shared.value[int(s)]).listed(keys[at])]] = True
                 yield pa.RecordBatch.from_pydict({"page_id": batch.column("page_id"), "url": batch.column("url"), "listed": pa.array(yes)})
 
-        return rows.mapInArrow(near, "page_id long, url string, listed boolean")
+        return rows.drop("__uid").mapInArrow(near, "page_id long, url string, listed boolean")
 
-    def test(left: pa.Table, right: pa.Table) -> pa.Table:
-        k = np.stack([left["__a"].to_numpy(), left["__b"].to_numpy()], axis=1).view(U)
-        yes = load(right["__blob"][0].as_py()).listed(k) if len(k) else np.zeros(0, bool)
-        return pa.table({"__a": left["__a"], "__b": left["__b"]}).filter(pa.array(yes))
+    def answer(blob: bytes | None, batch: pa.RecordBatch) -> pa.RecordBatch:
+        k = np.stack([batch.column("__a").to_numpy(), batch.column("__b").to_numpy()], axis=1).view(U)
+        yes = load(blob).listed(k) if blob and len(k) else np.zeros(len(k), bool)
+        return batch.select(["__uid"]).filter(pa.array(yes))
 
-    exploded = rows.select("url", F.posexplode("__h").alias("__at", "__a"), "__h").filter("__at % 2 = 0")
-    exploded = exploded.select("url", "__a", F.expr("__h[__at + 1]").alias("__b"))
-    distinct = exploded.select("__a", "__b").distinct().withColumn("__shard", F.pmod("__a", F.lit(shards)).cast("long"))
-    hits = distinct.groupBy("__shard").cogroup(index.groupBy("__shard")).applyInArrow(test, "__a long, __b long")
-    urls = exploded.join(hits, ["__a", "__b"], "left_semi").select("url").distinct().withColumn("listed", F.lit(True))
-    return rows.join(urls, "url", "left").select("page_id", "url", F.coalesce("listed", F.lit(False)).alias("listed"))
+    keys = rows.select("__uid", F.posexplode("__h").alias("__at", "__a"), "__h").filter("__at % 2 = 0")
+    keys = keys.select(F.pmod("__a", F.lit(shards)).cast("long").alias("__shard"), "__uid", "__a", F.expr("__h[__at + 1]").alias("__b"))
+    hits = lookup.sharded(keys, index, answer, StructType([StructField("__uid", LongType())]), -1)
+    both = rows.select("__uid", "page_id", "url", F.lit(False).alias("listed")).union(hits.select("__uid", F.lit(None).cast("long"), F.lit(None).cast("string"), F.lit(True)))
+    return both.groupBy("__uid").agg(F.max("page_id").alias("page_id"), F.max("url").alias("url"), F.max("listed").alias("listed")).drop("__uid")

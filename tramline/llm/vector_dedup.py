@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, forest, id_key, materialise
+from .textvec import few
 
-COSINE, BLOCK, CHUNK, LEAF = 0.95, 8, 16_384, 256
-SLACK = 1e-6
+COSINE, BLOCK, LEAF = 0.95, 8, 256
+LEAST_CHUNK, MOST_CHUNK = 2048, 65_536
+SLACK, VERIFY = 1e-5, 1e-6
 EDGE = "a long, b long"
 
 
@@ -65,37 +67,43 @@ def boxes(y: np.ndarray, leaf: int) -> list[np.ndarray]:
 
 
 def near(xa: np.ndarray, xb: np.ndarray, lo: int, hi: int, budget: float, cosine: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows whose block lo:hi is within `budget` (squared) and whose whole vectors are within `cosine`."""
-    ya, yb = xa[:, lo:hi].astype(np.float64), xb[:, lo:hi].astype(np.float64)
+    """Pairs of rows whose block lo:hi is within `budget` (squared) and whose whole vectors are within `cosine`.
+
+    The squared distances of two boxes' rows are one matrix product, |a|^2 + |b|^2 - 2ab, in single precision; SLACK
+    is above its error, and what passes is checked on whole vectors in double precision.
+    """
+    ya, yb = xa[:, lo:hi], xb[:, lo:hi]
     box_a = boxes(ya, LEAF)
     box_b = box_a if same else boxes(yb, LEAF)
-    low = np.array([yb[b].min(axis=0) for b in box_b])
-    high = np.array([yb[b].max(axis=0) for b in box_b])
+    one = np.ones((len(xa), 1), np.float32)
+    left = np.concatenate([-2 * ya, (ya**2).sum(axis=1, keepdims=True), one], axis=1)
+    right = np.concatenate([yb, np.ones((len(xb), 1), np.float32), (yb**2).sum(axis=1, keepdims=True)], axis=1)
+    sorted_b = np.concatenate(box_b)
+    right, edges = np.ascontiguousarray(right[sorted_b].T), np.concatenate([[0], np.cumsum([len(x) for x in box_b])])
+    low = np.array([yb[x].min(axis=0) for x in box_b])
+    high = np.array([yb[x].max(axis=0) for x in box_b])
     for k, at in enumerate(box_a):
         mine = ya[at]
         gap = np.maximum(0, np.maximum(low - mine.max(axis=0), mine.min(axis=0) - high))
         ok = (gap**2).sum(axis=1) <= budget
         if same:
             ok[:k] = False
-        hit = np.flatnonzero(ok)
-        if not len(hit):
-            continue
-        there = np.concatenate([box_b[h] for h in hit])
-        for s in range(0, len(there), 8192):
-            other = there[s : s + 8192]
-            far = (mine**2).sum(axis=1)[:, None] + (yb[other] ** 2).sum(axis=1) - 2 * mine @ yb[other].T
-            i, j = np.nonzero(far <= budget)
-            i, j = at[i], other[j]
-            if same:
-                i, j = i[i != j], j[i != j]
-            for t in range(0, len(i), 1 << 16):
-                p, q = i[t : t + (1 << 16)], j[t : t + (1 << 16)]
-                fits = np.einsum("nd,nd->n", xa[p].astype(np.float64), xb[q].astype(np.float64)) >= cosine - SLACK
-                if fits.any():
-                    yield p[fits], q[fits]
-
-
-def vector_dedup(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
+        run = np.flatnonzero(np.diff(np.concatenate([[0], ok, [0]])))  # neighbouring boxes go together
+        for p, q in zip(run[::2], run[1::2]):
+            for s in range(edges[p], edges[q], 4096):
+                e = min(s + 4096, edges[q])
+                found = few((left[at] @ right[:, s:e] <= budget).ravel())
+                i, j = at[found // (e - s)], sorted_b[s + found % (e - s)]
+                if same:
+                    i, j = i[i != j], j[i != j]
+                for t in range(0, len(i), 1 << 16):
+                    x, y = i[t : t + (1 << 16)], j[t : t + (1 << 16)]
+                    fits = np.einsum("nd,nd->n", xa[x].astype(np.float64), xb[y].astype(np.float64)) >= cosine - VERIFY
+                    if fits.any():
+                        yield x[fits], y[fits]
+
+
+def vector_dedup(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, chunk: int | None = None) -> DataFrame:
     """(vec_id, group_size): one vector of each group of near copies, the one with the least vec_id.
 
     Vectors with a cosine of at least `cosine` are near; groups are the connected components. Unit vectors are
@@ -104,8 +112,9 @@ def vector_dedup(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK,
     least one block: the union of the blocks' range joins holds every near pair, and each found pair is
     checked on whole vectors. No pair is missed.
 
-    A block's range join sorts by its first axis and cuts chunks; two chunks meet if their boxes are near enough, and
-    so do the smaller boxes within them. Equal vectors are joined beforehand by grouping, and a task returns
+    Vectors are sorted by their first axes and cut into chunks; two chunks meet, in one task for all blocks, unless
+    their boxes are too far apart in every block. Within a task smaller boxes are left out in the same way. A vector is
+    sent once for every chunk that its own meets. Equal vectors are joined beforehand by grouping, and a task returns
     a forest, not all pairs of a group.
 
     A null vector, one of another length than most, one with a null or not finite number, and a zero vector have no
@@ -132,65 +141,65 @@ def vector_dedup(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK,
     turned = rows.mapInArrow(turn, "__id long, v binary")
     turned = materialise(turned.groupBy("v", F.when(F.col("v").isNull(), F.col("__id")).alias("__own")).agg(F.min("__id").alias("__id"), F.count(F.lit(1)).alias("__n")).drop("__own"))
     points = materialise(turned.filter("v is not null").withColumn("idx", F.monotonically_increasing_id()))
-    each = max(1, math.ceil(points.count() / chunk))
+    n = points.count()
+    chunk = chunk or min(MOST_CHUNK, max(LEAST_CHUNK, n // 12))
+    each = max(1, math.ceil(n / chunk))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.frombuffer(b"".join(batch.column("v").to_pylist()), np.float32).reshape(-1, dim)
-            for k, (i, _) in enumerate(blocks):
-                yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(x), k, np.int64)), "y": pa.array(x[:, i]), "idx": batch.column("idx"), "v": batch.column("v")})
+            yield pa.RecordBatch.from_pydict({"y": pa.array(x[:, 0]), "idx": batch.column("idx"), "v": batch.column("v")})
 
-    ordered = points.select("idx", "v").mapInArrow(keyed, "block long, y float, idx long, v binary")
-    ordered = ordered.repartitionByRange(len(blocks) * each, "block", "y", "idx").sortWithinPartitions("block", "y", "idx")
+    ordered = points.select("idx", "v").mapInArrow(keyed, "y float, idx long, v binary").repartitionByRange(each, "y", "idx").sortWithinPartitions("y", "idx")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(k: int, ids: list, vs: list) -> pa.RecordBatch:
+        def made(ids: list, vs: list) -> pa.RecordBatch:
             ids, raw = np.concatenate(ids), b"".join(vs)
-            i, j = blocks[k]
-            y = np.frombuffer(raw, np.float32).reshape(-1, dim)[:, i:j].astype(np.float64)
-            box = [y.min(axis=0).tolist(), y.max(axis=0).tolist()]
-            return pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int64()), "key": pa.array([int(ids[0])], pa.int64()), "low": pa.array([box[0]], pa.list_(pa.float64())), "high": pa.array([box[1]], pa.list_(pa.float64())), "ids": pa.array([ids.tobytes()], pa.binary()), "x": pa.array([raw], pa.binary())})
+            x = np.frombuffer(raw, np.float32).reshape(-1, dim).astype(np.float64)
+            low, high = (pa.array([v.tolist()], pa.list_(pa.float64())) for v in (x.min(axis=0), x.max(axis=0)))
+            return pa.RecordBatch.from_pydict({"key": pa.array([int(ids[0])], pa.int64()), "low": low, "high": high, "ids": pa.array([ids.tobytes()], pa.binary()), "x": pa.array([raw], pa.binary())})
 
-        now, ids, vs, held = None, [], [], 0
+        ids, vs, held = [], [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ks, own, v = batch.column("block").to_numpy(), batch.column("idx").to_numpy(), batch.column("v")
-            cuts = [0, *(np.flatnonzero(ks[1:] != ks[:-1]) + 1), len(ks)]
-            for i, j in zip(cuts, cuts[1:]):
-                if ids and (ks[i] != now or held + j - i > 2 * chunk):
-                    yield made(now, ids, vs)
+            for i in range(0, batch.num_rows, chunk):
+                part = batch.slice(i, chunk)
+                if ids and held + part.num_rows > chunk:
+                    yield made(ids, vs)
                     ids, vs, held = [], [], 0
-                now = int(ks[i])
-                ids.append(own[i:j])
-                vs.append(b"".join(v.slice(i, j - i).to_pylist()))
-                held += j - i
+                ids.append(part.column("idx").to_numpy())
+                vs.append(b"".join(part.column("v").to_pylist()))
+                held += part.num_rows
         if ids:
-            yield made(now, ids, vs)
+            yield made(ids, vs)
 
-    chunks = materialise(ordered.mapInArrow(cut, "block long, key long, low array<double>, high array<double>, ids binary, x binary"))
-    light = chunks.select("block", "key", "low", "high")
+    chunks = materialise(ordered.mapInArrow(cut, "key long, low array<double>, high array<double>, ids binary, x binary"))
+    light = chunks.select("key", "low", "high")
     other = light.select(*[F.col(c).alias(f"{c}2") for c in light.columns])
-    gap = F.expr("aggregate(zip_with(zip_with(low, high2, (a, b) -> a - b), zip_with(low2, high, (a, b) -> a - b), (a, b) -> pow(greatest(a, b, 0D), 2)), 0D, (s, g) -> s + g)")
-    allowed = F.element_at(F.array(*[F.lit(float(b)) for b in budgets]), (F.col("block") + 1).cast("int"))
-    pairs = light.join(other, (F.col("block") == F.col("block2")) & (F.col("key") <= F.col("key2")) & (gap <= allowed)).select("block", "key", "key2")
-    own = chunks.select("block", "key", "ids", "x")
-    theirs = chunks.select("block", F.col("key").alias("key2"), F.col("ids").alias("ids2"), F.col("x").alias("x2"))
-    tasks = pairs.join(own, ["block", "key"]).join(theirs, ["block", "key2"]).repartition("block", "key", "key2")
+    gaps = "zip_with(zip_with(low, high2, (a, b) -> a - b), zip_with(low2, high, (a, b) -> a - b), (a, b) -> pow(greatest(a, b, 0D), 2))"
+    near_by = F.lit(False)
+    for (i, j), most in zip(blocks, budgets):
+        near_by = near_by | (F.expr(f"aggregate(slice({gaps}, {i + 1}, {j - i}), 0D, (s, g) -> s + g)") <= float(most))
+    # one row a chunk: a stated set of blocks against all of them, pruned by their boxes
+    pairs = light.withColumn("__one", F.lit(1)).join(other.withColumn("__two", F.lit(1)), (F.col("__one") == F.col("__two")) & (F.col("key") <= F.col("key2")) & near_by).select("key", "key2")
+    own = chunks.select("key", "ids", "x")
+    theirs = chunks.select(F.col("key").alias("key2"), F.col("ids").alias("ids2"), F.col("x").alias("x2"))
+    tasks = pairs.join(own, "key").join(theirs, "key2").repartition(max(1, each * (each + 1) // 2), "key", "key2")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for k in range(batch.num_rows):
+                r = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
                 xa, xb = (np.frombuffer(r[c], np.float32).reshape(-1, dim) for c in ("x", "x2"))
                 ia, ib = (np.frombuffer(r[c], np.int64) for c in ("ids", "ids2"))
-                (lo, hi), a, b, waiting = blocks[r["block"]], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-                for i, j in near(xa, xb, lo, hi, budgets[r["block"]], cosine, r["key"] == r["key2"]):
-                    a.append(ia[i])
-                    b.append(ib[j])
-                    waiting += len(i)
-                    if waiting > 1 << 20:
-                        node, root = forest(np.concatenate(a), np.concatenate(b))
-                        a, b, waiting = [node], [root], 0
+                a, b, waiting = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+                for (lo, hi), most in zip(blocks, budgets):
+                    for i, j in near(xa, xb, lo, hi, most, cosine, r["key"] == r["key2"]):
+                        a.append(ia[i])
+                        b.append(ib[j])
+                        waiting += len(i)
+                        if waiting > 1 << 20:
+                            node, root = forest(np.concatenate(a), np.concatenate(b))
+                            a, b, waiting = [node], [root], 0
                 node, root = forest(np.concatenate(a), np.concatenate(b))
                 yield pa.RecordBatch.from_pydict({"a": node, "b": root})
 
