@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ BLANKS[[9, 13, 32]] = True
 
 
 def tokens_of(line: str) -> list[str]:
-    return [t for t in re.split(r"[ \t\r]+", line) if t]
+    return [t for t in line.replace("\t", " ").replace("\r", " ").split(" ") if t]
 
 
 def leaves_of(lines: pa.Array, leading: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,13 +118,16 @@ def generalised(leading: int, alike: float):
     """Lines sorted by leaf, number of tokens and text to rows (h, template) where the template began with another line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, leaf, last = None, None, None
+        now, leaf, last, first = None, None, None, None
         for batch in batches:
             out: list[tuple[int, int]] = []
             for key, n, h, line in zip(*(batch.column(c).to_pylist() for c in ("leaf", "n", "h", "line"))):
                 if (key, n) != now:
-                    now, leaf, last = (key, n), Leaf(n, leading, alike), None
-                if line != last:
+                    now, leaf, last, first = (key, n), None, line, (line, h)
+                elif line != last:
+                    if leaf is None:  # most leaves have one line and need no templates
+                        leaf = Leaf(n, leading, alike)
+                        leaf.head(*first)
                     head, last = leaf.head(line, h), line
                     if head != h:
                         out.append((h, head))
