@@ -173,14 +173,12 @@ def vector_dedup(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK,
             yield made(ids, vs)
 
     chunks = materialise(ordered.mapInArrow(cut, "key long, low array<double>, high array<double>, ids binary, x binary"))
-    light = chunks.select("key", "low", "high")
+    sides = F.array(*[F.struct(F.lit(k).alias("block"), F.slice("low", i + 1, j - i).alias("low"), F.slice("high", i + 1, j - i).alias("high")) for k, (i, j) in enumerate(blocks)])
+    light = chunks.select("key", F.explode(sides).alias("__s")).select("key", "__s.*")
     other = light.select(*[F.col(c).alias(f"{c}2") for c in light.columns])
-    gaps = "zip_with(zip_with(low, high2, (a, b) -> a - b), zip_with(low2, high, (a, b) -> a - b), (a, b) -> pow(greatest(a, b, 0D), 2))"
-    near_by = F.lit(False)
-    for (i, j), most in zip(blocks, budgets):
-        near_by = near_by | (F.expr(f"aggregate(slice({gaps}, {i + 1}, {j - i}), 0D, (s, g) -> s + g)") <= float(most))
-    # one row a chunk: a stated set of blocks against all of them, pruned by their boxes
-    pairs = light.withColumn("__one", F.lit(1)).join(other.withColumn("__two", F.lit(1)), (F.col("__one") == F.col("__two")) & (F.col("key") <= F.col("key2")) & near_by).select("key", "key2")
+    gap = F.expr("aggregate(zip_with(zip_with(low, high2, (a, b) -> a - b), zip_with(low2, high, (a, b) -> a - b), (a, b) -> pow(greatest(a, b, 0D), 2)), 0D, (s, g) -> s + g)")
+    allowed = F.element_at(F.array(*[F.lit(float(b)) for b in budgets]), F.col("block") + 1)
+    pairs = light.join(other, (F.col("block") == F.col("block2")) & (F.col("key") <= F.col("key2")) & (gap <= allowed)).select("key", "key2").distinct()
     own = chunks.select("key", "ids", "x")
     theirs = chunks.select(F.col("key").alias("key2"), F.col("ids").alias("ids2"), F.col("x").alias("x2"))
     tasks = pairs.join(own, "key").join(theirs, "key2").repartition(max(1, each * (each + 1) // 2), "key", "key2")
