@@ -244,7 +244,8 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, bytes_per_part: int = B
         return rows.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(finer(subs), ROW)
 
     rows = split(docs.select(id_key().alias("__id"), "text").mapInArrow(window_blobs(width, parts), ROW))
-    found = split(rows.groupBy("part").applyInArrow(repeated(parts), ROW))
+    # by number, so that tasks aren't merged beyond a few parts as the input grows
+    found = split(rows.repartition(parts * subs, "part").groupBy("part").applyInArrow(repeated(parts), ROW))
     merged = found.groupBy("part").applyInArrow(intervals(width), "doc_id long, start_token long, end_token long")
     return joined(merged.filter(F.col("doc_id") != NULL_ID))
 
