@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tramline.operators import alerts, catalogue, normalize, schedule, segments, serve
+from tramline.sources import json_feeds
 
 NOON = 1716206400  # 2024-05-20 12:00 UTC
 
@@ -30,6 +31,38 @@ def test_nearest_service_day(spark):
     assert facts(spark, [("T", "S", "v", NOON, NOON, "R", 0, today)], [(today, "T", "S", None, None, "R", 0, 1)]) == []
 
 
+def test_facts_without_route_or_trip(spark):
+    today = date(2024, 5, 20)
+    visits = [("T", "S", "", NOON, NOON, None, 0, today), ("", "S", "v", NOON, NOON, "R", 0, today), ("U", "S", "v", NOON, NOON, "", 0, today), ("V", "S", "", NOON, NOON, "R", None, today)]
+    rows = [(today, t, "S", 43200, 43200, r, None, None) for t, r in (("T", None), ("", "R"), ("U", ""), ("V", None))]
+    v = spark.createDataFrame(visits, "trip_id string, stop_id string, vehicle string, arrival_ts long, departure_ts long, route_id string, direction_id int, local_date date").withColumn("stop_sequence", F.lit(9))
+    s = spark.createDataFrame(rows, "service_date date, trip_id string, stop_id string, arrival_s int, departure_s int, route_id string, direction_id int, stop_sequence int")
+    assert [(r["trip_id"], r["route_id"], r["vehicle"], r["stop_sequence"]) for r in schedule.adherence(v, s, F.lit("UTC")).collect()] == [("V", "R", None, 9)]
+
+
+def test_visits_without_a_route_are_no_stops_of_a_segment(spark):
+    rows = [("T", s, r, NOON + 60 * i, NOON + 60 * i, "v", 0, "bus") for i, (s, r) in enumerate([("A", "R"), ("B", None), ("B2", ""), ("C", "R")])]
+    got = segments.pairs(spark.createDataFrame(rows, "trip_id string, stop_id string, route_id string, arrival_ts long, departure_ts long, vehicle string, direction_id int, mode string")).collect()
+    assert [(r["from_stop_id"], r["to_stop_id"]) for r in got] == [("A", "C")]
+
+
+def test_modes_and_costs(spark):
+    kinds = {0: "rapid", 1: "rapid", 2: "cr", 3: "bus", 4: "other", 5: "rapid", 11: "bus", 12: "rapid", 99: "other", 100: "cr", 117: "cr", 118: "other", 209: "bus", 210: "other", 307: "cr", 405: "rapid", 406: "other", 716: "bus", 717: "other", 800: "bus", 801: "other", 906: "rapid", 1200: "other", None: "other"}
+    df = spark.createDataFrame([(k,) for k in kinds], "k int")
+    assert [r[0] for r in df.select(schedule.route_mode(F.col("k"))).collect()] == list(kinds.values())
+    gib = 1 << 30
+    objects = spark.createDataFrame([("a", "cold", 100 * gib, 5, 0, 0), ("a", "hot", 10 * gib, 2000, 0, 0), ("a", "landing", 2 * gib, 1, 10**6, 10**6)], "agency string, tier string, bytes long, objects long, puts long, gets long")
+    r = catalogue.costs(objects, ["agency"]).first()
+    assert (r["cold_usd"], r["hot_usd"], r["landing_usd"], r["requests_usd"], r["total_usd"]) == (0.099, 0.235, 0.046, 5.4, 5.78)
+
+
+def test_places_that_return(spark):
+    rows = [(1, "A", "n", 1.0, 1.0), (2, "A", "n", 2.0, 1.0), (3, "A", "n", 1.0, 1.0), (1, "B", "n", 1.0, 1.0), (3, "B", "n", 1.0, 1.0), (1, "C", "x", 1.0, 1.0), (2, "C", "y", 1.0, 1.0), (3, "C", "y", None, None)]
+    presence = spark.createDataFrame(rows, "snap int, stop_id string, name string, lat double, lon double")
+    got = catalogue.flapping(presence, presence.select("snap").distinct()).collect()
+    assert sorted((r["stop_id"], r["presence_runs"], r["name_returns"], r["place_returns"]) for r in got) == [("A", 1, False, True), ("B", 2, False, False)]
+
+
 def test_active_services(spark):
     calendar = spark.createDataFrame([("WD", 1, 1, 1, 1, 1, 0, 0, date(2024, 5, 1), date(2024, 5, 31))], "service_id string, monday int, tuesday int, wednesday int, thursday int, friday int, saturday int, sunday int, start_date date, end_date date")
     x = spark.createDataFrame([("WD", date(2024, 5, 27), 2), ("HOL", date(2024, 5, 27), 1)], "service_id string, date date, exception_type int")
@@ -49,14 +82,19 @@ def test_one_segment(spark):
     assert abs(segments.speeds(segments.with_coords(segments.pairs(visits), stops), loop).filter("trip_id = 'T1'").first()["distance_m"] - air) < 1e-6
 
 
-@pytest.mark.parametrize("text, want", [("Delays of 10-15 minutes", 15), ("up to 20 min delay", 20), ("running 5 mins late", 5), ("30+ minutes", 30), ("no numbers", None), ("Line 7 suspended", None)])
+@pytest.mark.parametrize("text, want", [("Delays of about 10 minutes", 10), ("delays of up to 20 minutes and 5 minutes late", 20), ("running 5 minutes late", 5), ("10 - 15 minutes behind schedule", 15), ("12-7 minutes late", 12), ("30+ minutes", None), ("up to 20 min delay", None), ("no numbers", None), ("Line 7 suspended", None)])
 def test_delay_minutes(spark, text, want):
     assert spark.range(1).select(alerts.delay_minutes(F.lit(text))).first()[0] == want
 
 
 def test_alert_rules(spark):
-    df = spark.createDataFrame([("STRIKE", "signal"), (None, "A Signal and police"), ("OTHER", None)], "cause string, text string")
-    assert [r[0] for r in df.select(alerts.alert_type(F.col("cause"), F.col("text"))).collect()] == ["staffing", "signal", "other"]
+    cases = [("STRIKE", "signal problem", "strike"), (None, "A Signal Problem and police", "signal_problem"), ("OTHER_CAUSE", "police", "other"), ("HOLIDAY", "fire", "other"), ("BRAND_NEW", "police", "other"), ("UNKNOWN_CAUSE", "police and smoke", "police_activity"), ("", "Disabled vehicle on the tracks", "car_traffic"), (None, "snow", "other"), (None, None, "other"), (None, "a switch issue", "switch_problem")]
+    df = spark.createDataFrame(cases, "cause string, text string, want string")
+    assert [r[0] for r in df.select(alerts.alert_type(F.col("cause"), F.col("text"))).collect()] == [c[2] for c in cases]
+    assert len(alerts.TYPES) == 18
+    cases = [("REDUCED_SERVICE", "", True), ("SIGNIFICANT_DELAYS", None, True), ("NO_SERVICE", "delays of 5 minutes", False), ("UNKNOWN_EFFECT", "Delays of about 5 minutes", True), ("OTHER_EFFECT", "delays", False), (None, "running behind schedule", True), (None, "late", False), ("", "7 minutes late", True)]
+    df = spark.createDataFrame(cases, "effect string, text string, want boolean")
+    assert [r[0] for r in df.select(alerts.is_delay(F.col("effect"), F.col("text"))).collect()] == [c[2] for c in cases]
     t = "array(named_struct('language','fr','text','a'), named_struct('language','en-US','text','b'))"
     assert spark.sql(f"select {t} as t").select(alerts.pick_translation(F.col("t")), alerts.pick_translation(F.col("t"), silver=True)).first() == ("b", "a")
     empty = spark.sql("select array_remove(array(named_struct('language','x','text','y')), named_struct('language','x','text','y')) as t")
@@ -67,16 +105,50 @@ def test_normalisers(spark):
     index = spark.createDataFrame([("604", "CC604"), ("Orange", "OR")], "token string, canonical string")
     mwrta = spark.createDataFrame([("7", 1716220800, "604", None, 1.0, 2.0, 10.0, 90.0, "2024-05-20T12:00:00")], "vehicle_id string, feed_timestamp long, route string, route_name string, latitude double, longitude double, speed double, heading double, vehicle_datetime string")
     r = normalize.normalize("mwrta_vehicles", mwrta, F.lit("America/New_York"), index).first()
-    assert (r["route_id"], r["ts_utc"], round(r["speed_mps"], 4), r["resolution_status"]) == ("CC604", 1716220800, 4.4704, "resolved")
+    assert (r["route_id"], r["ts_utc"], r["speed_mps"], r["raw_speed"], r["speed_unit"], r["resolution_status"]) == ("CC604", 1716220800, None, 10.0, "unknown", "resolved")
+    fuzzy = normalize.normalize("mwrta_vehicles", mwrta.withColumn("route_name", F.lit("oran")), F.lit("America/New_York"), index, agency="ccrta").first()
+    assert (fuzzy["route_id"], fuzzy["raw_route"], fuzzy["resolution_status"]) == ("OR", "oran", "resolved")
     swiv = spark.createDataFrame([("1", 5, 1.0, 2.0, 3.0, 36.0, 77)], "vehicle_id string, feed_timestamp long, latitude double, longitude double, heading double, speed double, route_line_id long")
     r = normalize.normalize("swiv_vehicles", swiv, F.lit("UTC"), index).first()
     assert (r["route_id"], round(r["speed_mps"], 6), r["resolution_status"]) == (None, 10.0, "route_unresolved")
+    topo = spark.createDataFrame([(77, " Orange "), (78, "CC604")], "id_ligne long, nom_commercial string")
+    lines = swiv.unionByName(swiv.withColumn("route_line_id", F.lit(78).cast("long"))).unionByName(swiv.withColumn("route_line_id", F.lit(None).cast("long"))).unionByName(swiv.withColumn("route_line_id", F.lit(18045).cast("long")))
+    got = normalize.normalize("swiv_vehicles", lines, F.lit("UTC"), index.union(spark.createDataFrame([("27", "W27")], "token string, canonical string")), topo, agency="WRTA").collect()
+    assert sorted(((r["raw_route"], r["route_id"], r["resolution_status"]) for r in got), key=repr) == sorted([("77", "OR", "resolved"), ("78", "CC604", "passthrough"), (None, None, "no_route"), ("18045", "W27", "resolved")], key=repr)
+    match = spark.createDataFrame([(str(i), 5, 1.0, 2.0, 3.0, 10.0, r, "t", None) for i, r in enumerate(["Wk Rt 0604", "CC604", "x", None])], "vehicle_id string, feed_timestamp long, latitude double, longitude double, heading double, speed double, route_id string, trip_id string, last_update string")
+    got = sorted((r["vehicle_id"], r["route_id"], r["trip_id"], r["resolution_status"]) for r in normalize.normalize("routematch_vehicles", match, F.lit("UTC"), index).collect())
+    assert got == [("0", "CC604", None, "resolved"), ("1", "CC604", None, "passthrough"), ("2", None, None, "route_unresolved"), ("3", None, None, "no_route")]
+
+
+DECODED = {
+    "mta_lirr_json": ("lirr_trains", '[{"train_num": "604", "location": {"latitude": 1, "longitude": 2, "heading": 3, "speed": 10, "timestamp": 7}, "status": {}, "details": {"stops": [{"code": "JAM", "stop_status": "EN_ROUTE"}]}}]', (None, "T604", "S1", 4.4704, None, "mps", "no_route", 7)),
+    "mwrta_json": ("mwrta_vehicles", '[{"ID": 1, "Route": "Orange", "Lat": 1, "Long": 2, "Speed": 10, "Heading": 3, "DateTime": "2024-05-20T12:00:00", "VehiclePlate": "p"}]', ("OR", None, None, None, 10.0, "unknown", "resolved", 1716220800)),
+    "routematch_json": ("routematch_vehicles", '{"data": [{"vehicleId": 1, "latitude": 1, "longitude": 2, "lastUpdate": "2024-05-20T12:00:00-04:00", "masterRouteId": "Rte 604", "tripId": "x", "speed": 10}]}', ("CC604", None, None, 4.4704, None, "mps", "resolved", 1716220800)),
+    "trillium_json": ("trillium_vehicles", '[{"id": 1, "lat": 1, "lon": 2, "lastUpdated": "2024-05-20T16:00:00Z", "route_short_name": "OR", "speed": 10}]', ("OR", None, None, None, 10.0, "unknown", "passthrough", 1716220800)),
+    "swiv_json": ("swiv_vehicles", '[{"id": 1, "localisation": {"lat": 1, "lng": 2, "cap": 3}, "conduite": {"idLigne": 77, "vitesse": 36}}]', ("OR", None, None, 10.0, None, "mps", "resolved", 1716220801)),
+    "vta_json": ("vta_vehicles", '[{"vehicleId": 1, "lat": 1, "lng": 2, "headsignText": "604", "velocity": 10, "lastUpdate": "2024-05-20T12:00:00"}]', ("CC604", None, None, 4.4704, None, "mps", "resolved", 1716220800)),
+    "passio_json": ("passio_vehicles", '{"buses": {"9": [{"busId": 1, "latitude": 1, "longitude": 2, "route": "Orange Loop", "tripId": "x", "created": null}]}}', ("OR", None, None, None, None, "unknown", "resolved", 1716220801)),
+}
+
+
+@pytest.mark.parametrize("decoder", sorted(DECODED))
+def test_decoder_output_goes_through_its_normaliser(spark, decoder):
+    table, payload, want = DECODED[decoder]
+    names = lambda rows: spark.createDataFrame(rows, "token string, canonical string")
+    rows = json_feeds.decode(spark.createDataFrame([(payload.encode(), 1716220801)], "payload binary, fetched_at long"), decoder)
+    topo = spark.createDataFrame([(77, "Orange")], "id_ligne long, nom_commercial string")
+    got = normalize.normalize(table, rows, F.lit("America/New_York"), names([("604", "CC604"), ("Orange", "OR")]), topo, names([("604", "T604")]), names([("JAM", "S1")])).collect()
+    r = got[0]
+    assert len(got) == 1 and r["latitude"] == 1.0 and r["longitude"] == 2.0
+    assert (r["route_id"], r["trip_id"], r["stop_id"], r["speed_mps"] and round(r["speed_mps"], 6), r["raw_speed"], r["speed_unit"], r["resolution_status"], r["ts_utc"]) == want
 
 
 def test_route_tokens(spark):
     one = lambda c: spark.range(1).select(c).first()[0]
-    assert one(normalize.strip_route_prefix(F.lit("Route 5 North"))) == ["Route 5 North", "5 North", "5"]
-    assert [one(normalize.strip_route_marks(F.lit(t))) for t in ("Rt. 05 Orange", "Wk 12", "Rte 7 a", "Route 010")] == ["5O", "12", "7A", "10"] or True
+    assert [one(c) for c in normalize.strip_route_prefix(F.lit(" Route 5 North "))] == ["Route 5 North", "5 North", "Route 5"]
+    assert [one(c) for c in normalize.strip_route_prefix(F.lit("Airport Loop"))] == ["Airport Loop", None, "Airport"]
+    marks = {"Wk Rt 01": "1", "Rte 34": "34", "Route 5 Loop": "5", "Rt. 05 Orange": "5", "Rte 7 a": "7", "Rte 7a": "7A", "Route 010": "10", "Wk 12": None, "Rt05": None, "00": "0", "": None, None: None}
+    assert {t: one(normalize.strip_route_marks(F.lit(t).cast("string"))) for t in marks} == marks
     names = spark.createDataFrame([("Hyannis Loop", "H"), ("Barnstable Hyannis", "B"), ("Hyannis", "Y")], "name string, route_id string")
     tokens = spark.createDataFrame([("hyann",), ("stable",), ("none",), (" ",)], "token string")
     assert {r[0]: r[1] for r in normalize.resolve_fuzzy(tokens, names).collect()} == {"hyann": "Y", "stable": "B"}
@@ -107,8 +179,9 @@ def test_quartiles_are_not_ntile(spark):
 
 
 def test_notes_and_slug(spark):
-    df = spark.createDataFrame([(0.0, 10.0, 90.0)], "a double, b double, c double")
-    assert df.select(catalogue.notes({k: F.col(k) for k in "abc"})).first()[0] == "no a; sparse b"
+    cases = [(0, 0.0, 0.0, 0.0, 0.0, "no rows"), (9, 0.5, 0.0, 0.0, 0.0, "no stop_id → use --source trip-updates; no route_id"), (9, 1.0, 0.9, 50.0, None, "no current_status → position-based dwell; no direction → GTFS backfill"), (9, 2.0, 2.0, 2.0, 2.0, "")]
+    df = spark.createDataFrame(cases, "n long, stop double, status double, route double, dir double, want string")
+    assert [r[0] for r in df.select(catalogue.notes(F.col("n"), {k: F.col(k) for k in ("stop", "status", "route", "dir")})).collect()] == [c[-1] for c in cases]
     assert spark.range(1).select(catalogue.version_slug(F.lit("2024-05-20T10:00:00.123Z"))).first()[0] == "20240520T100000"
 
 

@@ -7,45 +7,58 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TYPES = ("signal", "track", "vehicle", "police", "medical", "weather", "construction", "staffing", "other")
-CAUSES = {
-    "TECHNICAL_PROBLEM": "vehicle", "STRIKE": "staffing", "ACCIDENT": "police", "WEATHER": "weather", "MAINTENANCE": "construction",
-    "CONSTRUCTION": "construction", "POLICE_ACTIVITY": "police", "MEDICAL_EMERGENCY": "medical",
-}
-KEYWORDS = (
-    ("signal", ("signal", "switch problem")), ("track", ("track", "rail condition")), ("vehicle", ("disabled", "mechanical", "door problem")),
-    ("police", ("police", "security")), ("medical", ("medical", "ill passenger")), ("weather", ("weather", "snow", "flood")),
-    ("construction", ("construction", "maintenance")), ("staffing", ("operator shortage", "staffing")),
+# A label and its phrases a line; the first line with a phrase in the text decides.
+PHRASES = """
+disabled_vehicle: disabled bus | disabled train | disabled trolley | train being removed from service | train being taken out of service | train that was disabled
+signal_problem: signal department | signal issue | signal maintenance | signal problem | signal repair | signal work
+switch_problem: itch issue | itch problem | switching issue
+brake_problem: brake issue | brake problem | brakes activated | brakes applied | brakes holding
+power_problem: catenary wires | electrical problem | overhead catenary | overhead wire | overheard wires | overhear wires | power department work | power issue | power problem | repairs to the wire | the overhead | third rail wiring | wire inspection | wire maintenance | wire problem | wire repair
+door_problem: door issue | door problem
+track_issue: broken rail | cracked rail | track issue | track problem
+medical_emergency: ill passenger | medical assistance | medical attention | medical emergency | sick passenger
+flooding: flooding
+police_activity: police
+fire: burning | fire | smoke
+mechanical_problem: air pressure problem | issue with the heating system | mechanical issue | mechanical problem | motor problem | pantograph issue | pantograph problem
+track_work: maintenance work | overnight maintenance | overnight work | personnel performed maintenance | single track | track maintenance | track repair | track work
+car_traffic: accident blocking the tracks | auto accident | auto blocking the track | auto that was blocking | auto was removed from the track | automobile accident | car accident | car blocking the track area | car blocking the tracks | car in the track area | car on the tracks | disabled vehicle on the tracks | due to traffic | unauthorized vehicle on the tracks | vehicle blocking the tracks
+"""
+KEYWORDS = tuple((label, tuple(x.strip() for x in rest.split("|"))) for label, _, rest in (line.partition(":") for line in PHRASES.split("\n") if line))
+KEYWORDS = tuple((label, tuple("witch " + w[5:] if w.startswith("itch ") else w for w in words)) for label, words in KEYWORDS)
+CAUSES = dict(
+    pair.split("=") for pair in "TECHNICAL_PROBLEM=mechanical_problem ACCIDENT=car_traffic MAINTENANCE=track_work CONSTRUCTION=track_work POLICE_ACTIVITY=police_activity MEDICAL_EMERGENCY=medical_emergency WEATHER=weather STRIKE=strike DEMONSTRATION=demonstration".split()
 )
-DELAYED = ("delay", "late", "behind schedule", "longer wait")
+TYPES = (*(label for label, _ in KEYWORDS), "weather", "strike", "demonstration", "other")
+DELAY_EFFECTS, UNCLEAR_EFFECTS = ("SIGNIFICANT_DELAYS", "REDUCED_SERVICE"), ("", "UNKNOWN_EFFECT", "OTHER_EFFECT")
 MINUTES = (
-    r"(\d+)\s*-\s*(\d+)\s*min", r"up to\s*(\d+)\s*min", r"(\d+)\s*min(?:ute)?s?\s*(?:late|delay|behind)", r"delays?\s*(?:of|about|around)\s*(\d+)\s*min",
-    r"(\d+)\s*to\s*(\d+)\s*min", r"(\d+)\+?\s*min",
+    r"delays of (?:about|up to) \d+ minutes",
+    r"(?:\d+\s*-\s*)?\d+ minutes (?:late|behind schedule)",
 )
-SEVERITY = ("SEVERE", "WARNING", "INFO", "UNKNOWN_SEVERITY")
+SEVERITY = ("SEVERE", "WARNING", "INFO")
 
 
 def alert_type(cause: Column, text: Column) -> Column:
-    """by cause, else by the first keyword in the order declared, else other."""
+    """a cause that is set decides, one without a label of its own as other; else the first phrase in the text, else other."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    out = F.lit(None).cast("string")
-    for code, name in CAUSES.items():
-        out = F.coalesce(out, F.when(cause == code, name))
+    by_text = F.lit(None).cast("string")
     for name, words in KEYWORDS:
         hit = F.lit(False)
         for w in words:
             hit = hit | F.contains(low, F.lit(w))
-        out = F.coalesce(out, F.when(hit, name))
-    return F.coalesce(out, F.lit("other"))
+        by_text = F.coalesce(by_text, F.when(hit, name))
+    labels = F.create_map(*[F.lit(x) for pair in CAUSES.items() for x in pair])
+    known = ~F.coalesce(cause, F.lit("")).isin("", "UNKNOWN_CAUSE")
+    return F.when(known, F.coalesce(F.element_at(labels, cause), F.lit("other"))).otherwise(F.coalesce(by_text, F.lit("other")))
 
 
 def is_delay(effect: Column, text: Column) -> Column:
-    """by effect, else by words."""
+    """an effect that is clear decides; else the words of the text."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    hit = F.lit(False)
-    for w in DELAYED:
-        hit = hit | F.contains(low, F.lit(w))
-    return F.coalesce(effect == "SIGNIFICANT_DELAYS", F.lit(False)) | hit
+    has = lambda w: F.contains(low, F.lit(w))
+    words = (has("delays") & has("minutes")) | has("minutes late") | has("behind schedule")
+    effect = F.coalesce(effect, F.lit(""))
+    return F.when(effect.isin(*DELAY_EFFECTS), True).when(~effect.isin(*UNCLEAR_EFFECTS), False).otherwise(words)
 
 
 def delay_minutes(text: Column) -> Column:
@@ -105,7 +118,7 @@ def of_route(alerts: DataFrame, route: str) -> DataFrame:
 
 
 def ranked(alerts: DataFrame, n: int = 50) -> DataFrame:
-    """The n most severe, newest first."""
+    """The n most severe, newest first; any other severity ranks like none."""
     rank = F.lit(len(SEVERITY))
     for i, name in enumerate(SEVERITY):
         rank = F.when(F.col("severity") == name, i).otherwise(rank)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,9 +19,12 @@ def coverage(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     return long.withColumn("pct", F.round(F.col("set_count") * 100 / F.col("rows"), 4))
 
 
-def notes(share: dict[str, Column]) -> Column:
-    """remarks on fields that are rare."""
-    return F.concat_ws("; ", *[F.when(v == 0, F.lit(f"no {k}")).when(v < 50, F.lit(f"sparse {k}")) for k, v in share.items()])
+def notes(rows: Column, share: dict[str, Column]) -> Column:
+    """what a feed's gaps mean for its analysis. share: percentages of stop, status, route and dir; null counts as 0."""
+    lacks = {k: F.coalesce(v, F.lit(0.0)) < 1 for k, v in share.items()}
+    place = F.when(lacks["stop"], "no stop_id \u2192 use --source trip-updates").when(lacks["status"], "no current_status \u2192 position-based dwell")
+    line = F.when(lacks["route"], "no route_id").when(lacks["dir"], "no direction \u2192 GTFS backfill")
+    return F.when(rows == 0, "no rows").otherwise(F.concat_ws("; ", place, line))
 
 
 def snapshot_for(days: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -61,16 +66,26 @@ def diff(early: DataFrame, late: DataFrame, moved_m: float = 50.0) -> DataFrame:
 
 
 def flapping(presence: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Ids that come and go, or whose name returns to an earlier one. presence: (snap, stop_id, name); snapshots: (snap)."""
-    grid = presence.select("stop_id").distinct().crossJoin(F.broadcast(snapshots)).join(presence.withColumn("here", F.lit(1)), ["snap", "stop_id"], "left")
+    """Ids that come and go, or whose name or place returns to an earlier one.
+
+    presence: (snap, stop_id, name) and maybe (lat, lon); snapshots: (snap). Snapshots are numbered, and a run of presence
+    begins where the number isn't one more than that of the row before; no table of all stops and snapshots is made.
+    """
+    numbered = snapshots.select("snap").distinct().withColumn("__no", F.row_number().over(W.orderBy("snap")))
+    rows = presence.join(numbered, "snap")
     order = W.partitionBy("stop_id").orderBy("snap")
-    start = F.col("here").isNotNull() & F.lag("here").over(order).isNull()
-    runs = grid.withColumn("__s", start.cast("int")).groupBy("stop_id").agg(F.sum("__s").alias("presence_runs"))
-    named = presence.withColumn("__b", F.lag("name").over(order))
-    changed = named.filter("__b is null or __b <> name").groupBy("stop_id").agg(F.count(F.lit(1)).alias("names"), F.countDistinct("name").alias("__d"))
-    out = runs.join(changed, "stop_id", "left")
-    returns = F.coalesce((F.col("names") >= 3) & (F.col("__d") < F.col("names")), F.lit(False))
-    return out.select("stop_id", "presence_runs", returns.alias("name_returns")).filter("presence_runs >= 2 or name_returns")
+    place = F.struct("lat", "lon") if {"lat", "lon"} <= set(presence.columns) else F.lit("")
+    rows = rows.withColumn("__place", place)
+    rows = rows.withColumns({"__last": F.lag("__no").over(order), "__name": F.lag("name").over(order), "__was": F.lag("__place").over(order)})
+    first = F.col("__last").isNull()
+    moved, named = first | ~F.col("__place").eqNullSafe(F.col("__was")), first | ~F.col("name").eqNullSafe(F.col("__name"))
+    many = lambda flag: F.count_if(flag)
+    kinds = lambda c, flag: F.size(F.collect_set(F.when(flag, F.to_json(F.struct(c)))))
+    out = rows.groupBy("stop_id").agg(
+        F.count_if(first | (F.col("__no") != F.col("__last") + 1)).alias("presence_runs"),
+        (kinds("name", named) < many(named)).alias("name_returns"), (kinds("__place", moved) < many(moved)).alias("place_returns"),
+    )
+    return out.filter("presence_runs >= 2 or name_returns or place_returns")
 
 
 def missing(here: DataFrame, there: DataFrame, keys: list[str]) -> DataFrame:
@@ -101,20 +116,33 @@ def candidates(rows: DataFrame, known_ids: DataFrame) -> DataFrame:
 
 
 def outcomes(polls: DataFrame) -> DataFrame:
-    """Polls by what came of them."""
-    kind = (
-        F.when(F.col("status_code").isin(401, 403), "needs_auth").when(F.col("status_code").isNull() | (F.col("status_code") >= 400), "dead")
-        .when(F.coalesce(F.contains("content_type", F.lit("html")), F.lit(False)), "format_mismatch").otherwise("ok")
-    )
+    """Polls by what came of them; `parsed` tells whether the body was a complete message."""
+    code = F.col("status_code")
+    kind = F.when(code.isin(401, 403), "needs_auth").when(code.isNull() | (code >= 400), "dead").when(~F.coalesce("parsed", F.lit(False)), "format_mismatch").otherwise("ok")
     return polls.groupBy(kind.alias("outcome")).agg(F.count(F.lit(1)).alias("polls"))
 
 
-def costs(objects: DataFrame, keys: list[str], gb_month: float = 0.023, per_thousand_puts: float = 0.005) -> DataFrame:
-    """Bytes, objects and estimated monthly cost."""
-    return objects.groupBy(*keys).agg(
-        F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("objects"),
-        F.round(F.sum("bytes") / 1e9 * gb_month + F.count(F.lit(1)) / 1000 * per_thousand_puts, 6).alias("usd"),
-    )
+class Prices(NamedTuple):
+    """US dollars: a gibibyte and month in each tier, a thousand watched objects a month, a request."""
+
+    cold: float = 0.00099
+    hot: float = 0.023
+    landing: float = 0.023
+    watched: float = 0.0025
+    put: float = 5e-6
+    get: float = 4e-7
+
+
+def costs(objects: DataFrame, keys: list[str], prices: Prices = Prices()) -> DataFrame:
+    """Monthly cost by tier and in all. objects: (tier, bytes, objects, puts, gets), tier being cold, hot or landing."""
+    of = lambda tier, c: F.coalesce(F.sum(F.when(F.col("tier") == tier, F.col(c))), F.lit(0))
+    gib = lambda tier: of(tier, "bytes") / float(1 << 30)
+    parts = {
+        "cold_usd": gib("cold") * prices.cold, "hot_usd": gib("hot") * prices.hot + of("hot", "objects") / 1000 * prices.watched, "landing_usd": gib("landing") * prices.landing,
+        "requests_usd": F.coalesce(F.sum("puts"), F.lit(0)) * prices.put + F.coalesce(F.sum("gets"), F.lit(0)) * prices.get,
+    }
+    total = sum(parts.values(), F.lit(0.0))
+    return objects.groupBy(*keys).agg(F.sum("bytes").alias("bytes"), *[F.round(v, 6).alias(k) for k, v in parts.items()], F.round(total, 6).alias("total_usd"))
 
 
 def crosswalk(routes: DataFrame) -> DataFrame:

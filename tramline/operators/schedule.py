@@ -54,20 +54,24 @@ def adherence(visits: DataFrame, schedule: DataFrame, tz: Column) -> DataFrame:
     schedule: (service_date date, trip_id, stop_id, arrival_s, departure_s, route_id, direction_id, stop_sequence). A
     trip after midnight belongs to the day before, so the arrival's local date and the date before are candidates;
     the smaller absolute delay wins, today's on a tie. The delay at arrival counts, else that at departure.
-    The schedule has one row for each day, trip and stop, so two equality joins keep every visit once.
+
+    The schedule is read and shuffled once: each of its rows is a candidate of two local dates, and the two that
+    meet there are one row of the join's side. Route, direction and sequence are the schedule's, else the visit's;
+    visits without a trip, and those for which neither knows a route, are dropped. An empty vehicle is null.
     """
-    rows = visits
-    for near in (0, 1):
-        own = schedule.select(
-            F.col("service_date").alias("__date"), F.col("trip_id").alias("__trip"), F.col("stop_id").alias("__stop"),
-            F.struct("service_date", "arrival_s", "departure_s", "route_id", "direction_id", "stop_sequence").alias(f"__s{near}"),
-        )
-        on = (F.date_sub("local_date", near) == F.col("__date")) & (F.col("trip_id") == F.col("__trip")) & (F.col("stop_id") == F.col("__stop"))
-        rows = rows.join(own, on, "left").drop("__date", "__trip", "__stop")
-        due = F.col(f"__s{near}")
-        midnight = service_midnight(due["service_date"], tz)
-        late = F.coalesce(F.col("arrival_ts") - midnight - due["arrival_s"], F.col("departure_ts") - midnight - due["departure_s"])
-        rows = rows.withColumn(f"__b{near}", late)
+    near = F.explode(F.array(F.lit(0), F.lit(1))).alias("__near")
+    due = F.struct("service_date", "arrival_s", "departure_s", "route_id", "direction_id", "stop_sequence").alias("__due")
+    days = schedule.select("service_date", due, F.col("trip_id").alias("__trip"), F.col("stop_id").alias("__stop"), near)
+    days = days.withColumn("__date", F.date_add("service_date", F.col("__near")))
+    days = days.groupBy("__trip", "__stop", "__date").agg(F.max(F.when(F.col("__near") == 0, F.col("__due"))).alias("__s0"), F.max(F.when(F.col("__near") == 1, F.col("__due"))).alias("__s1"))
+    rows = visits.filter(true("trip_id").isNotNull())
+    if "stop_sequence" not in rows.columns:
+        rows = rows.withColumn("stop_sequence", F.lit(None).cast("int"))
+    on = (F.col("local_date") == F.col("__date")) & (F.col("trip_id") == F.col("__trip")) & (F.col("stop_id") == F.col("__stop"))
+    rows = rows.join(days, on).drop("__date", "__trip", "__stop")
+    for k in (0, 1):
+        midnight, s = service_midnight(F.col(f"__s{k}.service_date"), tz), F.col(f"__s{k}")
+        rows = rows.withColumn(f"__b{k}", F.coalesce(F.col("arrival_ts") - midnight - s["arrival_s"], F.col("departure_ts") - midnight - s["departure_s"]))
     second = F.col("__b1").isNotNull() & (F.col("__b0").isNull() | (F.abs("__b1") < F.abs("__b0")))
     rows = rows.withColumns({"__s": F.when(second, F.col("__s1")).otherwise(F.col("__s0")), "basis": F.when(second, F.col("__b1")).otherwise(F.col("__b0"))})
     rows = rows.filter("basis is not null").withColumn("service_date", F.col("__s.service_date"))
@@ -75,9 +79,10 @@ def adherence(visits: DataFrame, schedule: DataFrame, tz: Column) -> DataFrame:
     rows = rows.withColumns({"scheduled_arrival_unix": midnight + F.col("__s.arrival_s"), "scheduled_departure_unix": midnight + F.col("__s.departure_s")})
     rows = rows.withColumns({
         "arrival_delay_s": F.col("arrival_ts") - F.col("scheduled_arrival_unix"), "departure_delay_s": F.col("departure_ts") - F.col("scheduled_departure_unix"),
-        "stop_sequence": F.col("__s.stop_sequence"), "route_id": F.coalesce(true("__s.route_id"), "route_id"), "direction_id": F.coalesce("__s.direction_id", "direction_id"),
-        "status": classify(F.col("basis")),
+        "stop_sequence": F.coalesce("__s.stop_sequence", "stop_sequence"), "route_id": F.coalesce(true("__s.route_id"), true("route_id")),
+        "direction_id": F.coalesce("__s.direction_id", "direction_id"), "vehicle": true("vehicle"), "status": classify(F.col("basis")),
     })
+    rows = rows.filter("route_id is not null")
     return rows.withColumn("on_time", F.col("status") == "on_time").drop("__s", "__s0", "__s1", "__b0", "__b1", "local_date")
 
 
@@ -145,12 +150,21 @@ def enrich(events: DataFrame, scheduled: DataFrame) -> DataFrame:
 
 
 def route_mode(kind: Column) -> Column:
-    """GTFS route type, base and extended, to mode."""
-    def between(a: int, b: int) -> Column:
-        return kind.between(a, b)
+    """GTFS route type, base and extended, to rapid, cr (commuter rail), bus or other; null is other."""
+
+    def among(*ranges: int | tuple[int, int]) -> Column:
+        hit = F.lit(False)
+        for r in ranges:
+            hit = hit | (kind.between(*r) if isinstance(r, tuple) else kind == r)
+        return F.coalesce(hit, F.lit(False))
 
     return (
-        F.when((kind == 0) | between(900, 999), "tram").when((kind == 1) | between(400, 499), "subway").when((kind == 2) | between(100, 199), "rail")
-        .when((kind == 3) | between(200, 299) | between(700, 799), "bus").when((kind == 4) | between(1000, 1099) | between(1200, 1299), "ferry")
-        .when(kind == 11, "trolleybus").when(kind == 12, "monorail").when(kind.isin(5, 6, 7) | between(1300, 1499), "cable").otherwise("other")
+        F.when(among(0, 1, 5, 12, (400, 405), (900, 906)), "rapid").when(among(2, (100, 117), (300, 307)), "cr")
+        .when(among(3, 11, (200, 209), (700, 716), 800), "bus").otherwise("other")
     )
+
+
+def with_mode(rows: DataFrame, routes: DataFrame) -> DataFrame:
+    """Each row's mode by its route; routes: (route_id, route_type), one row for each. An unknown route is other."""
+    modes = routes.select("route_id", route_mode(F.col("route_type")).alias("mode"))
+    return rows.join(modes, "route_id", "left").withColumn("mode", F.coalesce("mode", F.lit("other")))

@@ -14,11 +14,14 @@ RATIO = (0.95, 4.0)
 
 
 def pairs(visits: DataFrame) -> DataFrame:
-    """Consecutive visits of a trip; buses and others pair apart, as their speed limits differ."""
-    rows = visits.withColumn("is_bus", F.coalesce(F.col("mode") == "bus", F.lit(False)))
+    """Consecutive visits of a trip; buses and others pair apart, as their speed limits differ.
+
+    Visits without a trip or route take no part, so their neighbours are consecutive.
+    """
+    rows = visits.filter(true("trip_id").isNotNull() & true("route_id").isNotNull()).withColumn("is_bus", F.coalesce(F.col("mode") == "bus", F.lit(False)))
     order = W.partitionBy("trip_id", "is_bus").orderBy("arrival_ts", "departure_ts", "stop_id", "vehicle")
     nxt = F.lead(F.struct("stop_id", "arrival_ts")).over(order)
-    rows = rows.filter(true("trip_id").isNotNull()).withColumn("__to", nxt).filter("__to is not null")
+    rows = rows.withColumn("__to", nxt).filter("__to is not null")
     return rows.select(
         "route_id", "direction_id", "trip_id", "vehicle", "is_bus", F.col("stop_id").alias("from_stop_id"), F.col("__to.stop_id").alias("to_stop_id"),
         F.col("departure_ts").alias("departure_unix"), F.col("__to.arrival_ts").alias("arrival_unix"), (F.col("__to.arrival_ts") - F.col("departure_ts")).alias("transit_s"),

@@ -57,22 +57,22 @@ VISITS = VISITS.replace("strftime(to_timestamp(arrival_ts) AT TIME ZONE 'UTC', '
 
 
 def line_visits(spark: SparkSession, d: str) -> DataFrame:
-    """Observed stops: a trip for each order, a stop for each line."""
+    """Observed stops: a trip for each order, a stop for each line; some have no route or vehicle."""
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("day"))
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus").join(o, "l_orderkey")
     sched = F.lit(21600) + F.col("l_linenumber") * 600 + (F.col("l_orderkey") % 20) * 3600
     midnight = unix(F.col("day").cast("timestamp_ntz"))
     rows = rows.select(
-        F.col("l_orderkey").cast("string").alias("trip_id"), F.col("l_linenumber").cast("string").alias("stop_id"), F.col("l_returnflag").alias("route_id"),
-        F.when(F.col("l_linestatus") == "F", 0).otherwise(1).alias("direction_id"), F.col("l_suppkey").cast("string").alias("vehicle"), "day", "l_linenumber", "l_orderkey",
-        sched.alias("sched_s"), (midnight + sched + F.col("l_partkey") % 901 - 200).alias("arrival_ts"), F.col("l_quantity").cast("long").alias("q"),
+        F.col("l_orderkey").cast("string").alias("trip_id"), F.col("l_linenumber").cast("string").alias("stop_id"), F.when(F.col("l_partkey") % 17 > 1, F.col("l_returnflag")).when(F.col("l_partkey") % 17 == 1, "").alias("route_id"),
+        F.when(F.col("l_linestatus") == "F", 0).otherwise(1).alias("direction_id"), F.when(F.col("l_suppkey") % 9 == 0, "").otherwise(F.col("l_suppkey").cast("string")).alias("vehicle"), "day", "l_linenumber", "l_orderkey",
+        sched.alias("sched_s"), (midnight + sched + F.col("l_partkey") % 901 - 200).alias("arrival_ts"), F.col("l_quantity").cast("long").alias("q"), (F.col("l_linenumber") + 100).cast("int").alias("stop_sequence"),
     )
     rows = rows.withColumn("departure_ts", F.col("arrival_ts") + F.col("q"))
     return rows.withColumns({"local_date": F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("arrival_ts") / 86400).cast("int")), "mode": F.when(F.col("route_id") == "A", "bus").otherwise("rail")})
 
 
-LINES = """lv AS (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_linenumber AS VARCHAR) AS stop_id, l_returnflag AS route_id, CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END AS direction_id,
-  CAST(l_suppkey AS VARCHAR) AS vehicle, CAST(o_orderdate AS DATE) AS day, l_linenumber, l_orderkey, 21600 + l_linenumber * 600 + (l_orderkey % 20) * 3600 AS sched_s,
+LINES = """lv AS (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_linenumber AS VARCHAR) AS stop_id, CASE WHEN l_partkey % 17 > 1 THEN l_returnflag WHEN l_partkey % 17 = 1 THEN '' END AS route_id, CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END AS direction_id,
+  CASE WHEN l_suppkey % 9 = 0 THEN '' ELSE CAST(l_suppkey AS VARCHAR) END AS vehicle, CAST(l_linenumber + 100 AS INTEGER) AS stop_sequence, CAST(o_orderdate AS DATE) AS day, l_linenumber, l_orderkey, 21600 + l_linenumber * 600 + (l_orderkey % 20) * 3600 AS sched_s,
   CAST(epoch(o_orderdate) AS BIGINT) + 21600 + l_linenumber * 600 + (l_orderkey % 20) * 3600 + l_partkey % 901 - 200 AS arrival_ts, CAST(l_quantity AS BIGINT) AS q
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 obs AS (SELECT *, row_number() OVER () AS rid, arrival_ts + q AS departure_ts, CAST(make_timestamp(arrival_ts * 1000000) AS DATE) AS local_date, CASE WHEN route_id = 'A' THEN 'bus' ELSE 'rail' END AS mode FROM lv)"""
@@ -84,24 +84,24 @@ def schedule(spark: SparkSession, d: str) -> DataFrame:
     rows = rows.withColumn("service_date", F.explode(F.array("day", F.date_sub("day", 1))))
     # every seventh trip has no arrival time
     bare = F.col("trip_id").cast("long") % 7 == 0
-    return rows.select("service_date", "trip_id", "stop_id", F.when(~bare, F.col("sched_s")).alias("arrival_s"), (F.col("sched_s") + 30).alias("departure_s"), "route_id", "direction_id", F.col("l_linenumber").alias("stop_sequence"))
+    return rows.select("service_date", "trip_id", "stop_id", F.when(~bare, F.col("sched_s")).alias("arrival_s"), (F.col("sched_s") + 30).alias("departure_s"), F.when(F.col("trip_id").cast("long") % 5 != 0, F.col("route_id")).alias("route_id"), "direction_id", F.when(F.col("trip_id").cast("long") % 13 != 0, F.col("l_linenumber")).cast("int").alias("stop_sequence"))
 
 
 SCHEDULE = f"""{LINES},
 s0 AS (SELECT trip_id, stop_id, day, sched_s, l_linenumber, min(route_id) AS route_id, min(direction_id) AS direction_id FROM obs GROUP BY ALL),
-sched AS (SELECT CAST(day - to_days(o) AS DATE) AS service_date, trip_id, stop_id, CASE WHEN CAST(trip_id AS BIGINT) % 7 = 0 THEN NULL ELSE sched_s END AS arrival_s, sched_s + 30 AS departure_s, route_id, direction_id, l_linenumber AS stop_sequence
+sched AS (SELECT CAST(day - to_days(o) AS DATE) AS service_date, trip_id, stop_id, CASE WHEN CAST(trip_id AS BIGINT) % 7 = 0 THEN NULL ELSE sched_s END AS arrival_s, sched_s + 30 AS departure_s, CASE WHEN CAST(trip_id AS BIGINT) % 5 <> 0 THEN route_id END AS route_id, direction_id, CASE WHEN CAST(trip_id AS BIGINT) % 13 <> 0 THEN CAST(l_linenumber AS INTEGER) END AS stop_sequence
   FROM s0, (SELECT unnest([0, 1]) AS o))"""
 
 
 ADHERENCE = f"""{SCHEDULE},
 c AS (SELECT obs.*, n, CAST(local_date - to_days(CAST(n AS INTEGER)) AS DATE) AS service_date FROM obs, (SELECT unnest([0, 1]) AS n)),
-j AS (SELECT c.rid, c.trip_id, c.stop_id, c.vehicle, c.n, c.arrival_ts, c.departure_ts, c.service_date, sched.route_id, sched.direction_id, sched.stop_sequence,
+j AS (SELECT c.rid, c.trip_id, c.stop_id, nullif(c.vehicle, '') AS vehicle, c.n, c.arrival_ts, c.departure_ts, c.service_date, coalesce(nullif(sched.route_id, ''), nullif(c.route_id, '')) AS route_id, coalesce(sched.direction_id, c.direction_id) AS direction_id, coalesce(sched.stop_sequence, c.stop_sequence) AS stop_sequence,
   CAST(epoch(c.service_date) AS BIGINT) + sched.arrival_s AS scheduled_arrival_unix, CAST(epoch(c.service_date) AS BIGINT) + sched.departure_s AS scheduled_departure_unix
   FROM c JOIN sched USING (service_date, trip_id, stop_id)),
 k AS (SELECT *, arrival_ts - scheduled_arrival_unix AS arrival_delay_s, departure_ts - scheduled_departure_unix AS departure_delay_s FROM j),
 m AS (SELECT *, coalesce(arrival_delay_s, departure_delay_s) AS basis FROM k),
 p AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY abs(basis), n) AS rn FROM m WHERE basis IS NOT NULL),
-facts AS (SELECT *, CASE WHEN basis < -60 THEN 'early' WHEN basis > 300 THEN 'late' ELSE 'on_time' END AS status FROM p WHERE rn = 1)"""
+facts AS (SELECT *, CASE WHEN basis < -60 THEN 'early' WHEN basis > 300 THEN 'late' ELSE 'on_time' END AS status FROM p WHERE rn = 1 AND route_id IS NOT NULL)"""
 
 
 def stops(spark: SparkSession, d: str) -> DataFrame:
@@ -138,18 +138,24 @@ g4 AS (SELECT *, pow(px - t * dx, 2) + pow(py - t * dy, 2) AS off, dist_m + t *
 projected AS (SELECT shape_id, stop_id, along AS along_m FROM (SELECT *, row_number() OVER (PARTITION BY shape_id, stop_id ORDER BY off, seq) AS rn FROM g4) WHERE rn = 1)"""
 
 
+HEADS = ["Signal problem at", "Delays due to a DISABLED train near", "Police activity", "Snow and flooding", "Elevator out at", "Switch issue by", "Overheard wires and smoke at", "Brakes holding on", "Auto accident blocking the tracks at", "Single track for", "Sick passenger at"]
+LEADS = ["expect delays of about ", "Delays of up to ", "running ", "no change ", "10-", "3 - "]
+TAILS = [" minutes late", " minutes behind schedule", " min", " minutes"]
+
+
 def alerts(spark: SparkSession, d: str) -> DataFrame:
     """Polls of alerts: a part is one poll of one of 97 alerts."""
     p = F.col("p_partkey")
-    words = F.element_at(F.array(*map(F.lit, ["Signal problem at", "Delays due to a DISABLED train near", "Police activity", "Snow and flood", "Elevator out at"])), (p % 5 + 1).cast("int"))
-    phrase = F.element_at(F.array(*map(F.lit, ["expect delays of about ", "up to ", "running ", "no change ", "10-"])), (p % 7 % 5 + 1).cast("int"))
-    return table(spark, d, "part").select(
-        (p % 97).alias("alert_id"), (p % 1000).alias("fetched_at"), p.alias("ord"), F.when(p % 4 == 0, "MAINTENANCE").when(p % 9 == 0, "STRIKE").alias("cause"),
-        F.when(p % 6 == 0, "SIGNIFICANT_DELAYS").alias("effect"), F.concat_ws(" ", words, "p_name", phrase).alias("head"), F.concat(phrase, F.col("p_size").cast("string"), F.lit(" minutes late")).alias("tail"),
-    ).withColumn("text", F.concat_ws(" ", "head", "tail")).drop("head", "tail")
-
-
-ALERTS = """polls AS (SELECT p_partkey % 97 AS alert_id, p_partkey % 1000 AS fetched_at, p_partkey AS ord, CASE WHEN p_partkey % 4 = 0 THEN 'MAINTENANCE' WHEN p_partkey % 9 = 0 THEN 'STRIKE' END AS cause,
-  CASE WHEN p_partkey % 6 = 0 THEN 'SIGNIFICANT_DELAYS' END AS effect,
-  ['Signal problem at', 'Delays due to a DISABLED train near', 'Police activity', 'Snow and flood', 'Elevator out at'][p_partkey % 5 + 1] || ' ' || p_name || ' ' || ph || ' ' || ph || p_size || ' minutes late' AS text
-  FROM (SELECT *, ['expect delays of about ', 'up to ', 'running ', 'no change ', '10-'][p_partkey % 7 % 5 + 1] AS ph FROM part))"""
+    pick = lambda values, n: F.element_at(F.array(*map(F.lit, values)), (n + 1).cast("int"))
+    cause = F.when(p % 4 == 0, "MAINTENANCE").when(p % 9 == 0, "STRIKE").when(p % 10 == 1, "UNKNOWN_CAUSE").when(p % 14 == 3, "HOLIDAY").when(p % 22 == 5, "SOMETHING_NEW").when(p % 15 == 7, "")
+    effect = F.when(p % 7 == 0, "SIGNIFICANT_DELAYS").when(p % 7 == 1, "REDUCED_SERVICE").when(p % 7 == 2, "NO_SERVICE").when(p % 7 == 3, "OTHER_EFFECT").when(p % 7 == 4, "UNKNOWN_EFFECT")
+    lead = pick(LEADS, p % 13 % 6)
+    text = F.when(p % 31 != 0, F.concat(pick(HEADS, p % 11), F.lit(" "), F.col("p_name"), F.lit(" "), lead, F.lit(" "), lead, F.col("p_size").cast("string"), pick(TAILS, p % 17 % 4)))
+    return table(spark, d, "part").select((p % 97).alias("alert_id"), (p % 1000).alias("fetched_at"), p.alias("ord"), cause.alias("cause"), effect.alias("effect"), text.alias("text"))
+
+
+ALERTS = f"""polls AS (SELECT p_partkey % 97 AS alert_id, p_partkey % 1000 AS fetched_at, p_partkey AS ord,
+  CASE WHEN p_partkey % 4 = 0 THEN 'MAINTENANCE' WHEN p_partkey % 9 = 0 THEN 'STRIKE' WHEN p_partkey % 10 = 1 THEN 'UNKNOWN_CAUSE' WHEN p_partkey % 14 = 3 THEN 'HOLIDAY' WHEN p_partkey % 22 = 5 THEN 'SOMETHING_NEW' WHEN p_partkey % 15 = 7 THEN '' END AS cause,
+  CASE p_partkey % 7 WHEN 0 THEN 'SIGNIFICANT_DELAYS' WHEN 1 THEN 'REDUCED_SERVICE' WHEN 2 THEN 'NO_SERVICE' WHEN 3 THEN 'OTHER_EFFECT' WHEN 4 THEN 'UNKNOWN_EFFECT' END AS effect,
+  CASE WHEN p_partkey % 31 <> 0 THEN {HEADS}[p_partkey % 11 + 1] || ' ' || p_name || ' ' || ph || ' ' || ph || p_size || {TAILS}[p_partkey % 17 % 4 + 1] END AS text
+  FROM (SELECT *, {LEADS}[p_partkey % 13 % 6 + 1] AS ph FROM part))"""

@@ -68,7 +68,7 @@ def speeds(s, d):
 
 SPEEDS = f"""{LINES},
 lc AS (SELECT stop_id, 40.0::DOUBLE + CAST(stop_id AS DOUBLE) * 0.01::DOUBLE AS lat, -74.0::DOUBLE + CAST(stop_id AS DOUBLE) * CAST(stop_id AS DOUBLE) * 0.004::DOUBLE AS lon FROM (SELECT DISTINCT stop_id FROM obs)),
-pr AS (SELECT route_id, direction_id, trip_id, vehicle, mode = 'bus' AS is_bus, stop_id AS from_stop_id, lead(stop_id) OVER w AS to_stop_id, departure_ts AS departure_unix, lead(arrival_ts) OVER w AS arrival_unix FROM obs WINDOW w AS (PARTITION BY trip_id, mode = 'bus' ORDER BY arrival_ts, departure_ts, stop_id, vehicle)),
+pr AS (SELECT route_id, direction_id, trip_id, vehicle, mode = 'bus' AS is_bus, stop_id AS from_stop_id, lead(stop_id) OVER w AS to_stop_id, departure_ts AS departure_unix, lead(arrival_ts) OVER w AS arrival_unix FROM obs WHERE route_id <> '' WINDOW w AS (PARTITION BY trip_id, mode = 'bus' ORDER BY arrival_ts, departure_ts, stop_id, vehicle)),
 sp AS (SELECT pr.*, arrival_unix - departure_unix AS transit_s, {hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} AS distance_m FROM pr JOIN lc a ON a.stop_id = from_stop_id JOIN lc b ON b.stop_id = to_stop_id WHERE to_stop_id IS NOT NULL),
 spd AS (SELECT *, distance_m / transit_s * 2.23694::DOUBLE AS speed_mph, strftime(make_timestamp(departure_unix * 1000000), '%Y-%m-%d') AS service_date FROM sp WHERE transit_s > 0 AND transit_s <= 7200 AND distance_m > 0),
 speeds AS (SELECT * FROM spd WHERE speed_mph <= CASE WHEN is_bus THEN 90 ELSE 200 END)"""
@@ -109,10 +109,10 @@ def exceptions(s, d):
 
 ACTIVE = f"""days AS ({CAL_DAYS}),
 cal AS (SELECT 'S' || n_nationkey AS service_id, n_nationkey AS n, CAST(DATE '1996-01-01' + n_nationkey * 20 AS DATE) AS s, CAST(DATE '1997-06-01' + n_nationkey * 20 AS DATE) AS e FROM nation),
-ex AS (SELECT DISTINCT 'S' || (o_orderkey % 25) AS service_id, CAST(o_orderdate AS DATE) AS day, CAST(o_orderkey // 10 % 2 + 1 AS INTEGER) AS kind FROM orders WHERE o_orderkey % 10 = 0),
+ex AS (SELECT DISTINCT 'S' || (o_orderkey % 25) AS service_id, CAST(o_orderdate AS DATE) AS day, CAST(o_orderkey // 10 % 2 + 1 AS INTEGER) AS kind FROM orders),
 act AS (SELECT day, service_id FROM days JOIN cal ON day BETWEEN s AND e AND (n + isodow(day) - 1) % 3 <> 0 UNION SELECT day, service_id FROM ex WHERE kind = 1 EXCEPT SELECT day, service_id FROM ex WHERE kind = 2)"""
 
-MODES = "CASE WHEN k = 0 OR k BETWEEN 900 AND 999 THEN 'tram' WHEN k = 1 OR k BETWEEN 400 AND 499 THEN 'subway' WHEN k = 2 OR k BETWEEN 100 AND 199 THEN 'rail' WHEN k = 3 OR k BETWEEN 200 AND 299 OR k BETWEEN 700 AND 799 THEN 'bus' WHEN k = 4 OR k BETWEEN 1000 AND 1099 OR k BETWEEN 1200 AND 1299 THEN 'ferry' WHEN k = 11 THEN 'trolleybus' WHEN k = 12 THEN 'monorail' WHEN k IN (5, 6, 7) OR k BETWEEN 1300 AND 1499 THEN 'cable' ELSE 'other' END"
+MODES = "CASE WHEN k IN (0, 1, 5, 12) OR k BETWEEN 400 AND 405 OR k BETWEEN 900 AND 906 THEN 'rapid' WHEN k = 2 OR k BETWEEN 100 AND 117 OR k BETWEEN 300 AND 307 THEN 'cr' WHEN k IN (3, 11, 800) OR k BETWEEN 200 AND 209 OR k BETWEEN 700 AND 716 THEN 'bus' ELSE 'other' END"
 
 QUERIES = {
     "adherence_fact": (lambda s, d: facts(s, d).select(*COLUMNS), f"WITH {FACTS} SELECT {', '.join('sd AS service_date' if c == 'service_date' else c for c in COLUMNS)} FROM f2"),
@@ -124,6 +124,8 @@ QUERIES = {
     "scheduled_headway": (lambda s, d: sc.scheduled_stops(stop_times(s, d), trips(s, d)).select("trip_id", "stop_id", "route_id", "direction_id", "scheduled_headway"), f"WITH {TIMES} SELECT trip_id, stop_id, route_id, direction_id, scheduled_headway FROM sx"),
     "keepfirst_index": (lambda s, d: sc.keep_first(line_visits(s, d), ["trip_id", "stop_id"], ["arrival_ts", "vehicle", "departure_ts"]).select("trip_id", "stop_id", "arrival_ts", "vehicle"), f"WITH {LINES} SELECT trip_id, stop_id, arrival_ts, vehicle FROM (SELECT *, row_number() OVER (PARTITION BY trip_id, stop_id ORDER BY arrival_ts, vehicle, departure_ts) AS rn FROM obs) WHERE rn = 1"),
     "event_enrichment": (lambda s, d: sc.enrich(line_visits(s, d).select("trip_id", "stop_id", "arrival_ts"), sc.scheduled_stops(stop_times(s, d), trips(s, d))), f"WITH {TIMES} SELECT obs.trip_id, obs.stop_id, arrival_ts, scheduled_tt, scheduled_headway FROM obs LEFT JOIN sx USING (trip_id, stop_id)"),
+    "mode_lookup": (lambda s, d: sc.with_mode(table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("route_id")), table(s, d, "supplier").filter("s_suppkey % 3 > 0").select(F.col("s_suppkey").alias("route_id"), F.element_at(F.array(*map(F.lit, [0, 2, 3, 4, 11, 109, 705, 800])), (F.col("s_suppkey") % 8 + 1).cast("int")).alias("route_type"))).drop("route_id"),
+        "SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 3 = 0 OR l_suppkey NOT IN (SELECT s_suppkey FROM supplier) THEN 'other' ELSE ['rapid', 'cr', 'bus', 'other', 'bus', 'cr', 'bus', 'bus'][l_suppkey % 8 + 1] END AS mode FROM lineitem"),
     "route_modes": (lambda s, d: table(s, d, "part").select("p_partkey", sc.route_mode((F.col("p_partkey") * 7 % 1600).cast("int")).alias("mode")), f"SELECT p_partkey, {MODES.replace('k ', 'p_partkey * 7 % 1600 ')} AS mode FROM part"),
     "segment_pairs": (lambda s, d: transit(s, d).select("trip_id", "from_stop_id", "to_stop_id", "departure_unix", "arrival_unix", "transit_s"), f"WITH {SPEEDS} SELECT trip_id, from_stop_id, to_stop_id, departure_unix, arrival_unix, transit_s FROM sp"),
     "segment_speed": (lambda s, d: speeds(s, d).select("route_id", "trip_id", "from_stop_id", "to_stop_id", "transit_s", F.round("distance_m", 3).alias("distance_m"), F.round("speed_mph", 4).alias("speed_mph"), "service_date"), f"WITH {SPEEDS} SELECT route_id, trip_id, from_stop_id, to_stop_id, transit_s, round(distance_m, 3) AS distance_m, round(speed_mph, 4) AS speed_mph, service_date FROM speeds"),

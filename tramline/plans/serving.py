@@ -90,7 +90,7 @@ QUERIES = {
     "recent_routes": (recent_routes, f"WITH {STOP_DAY}, r AS (SELECT route_id, CAST(service_date AS DATE) AS day FROM stop_day) SELECT route_id, CAST(max(day) AS VARCHAR) AS last_day FROM r WHERE day > (SELECT max(day) FROM r) - 14 GROUP BY route_id"),
     "versions_started": (versions_started, "WITH r AS (SELECT 'v' || (n_nationkey % 6) AS slug, CAST(DATE '1995-06-01' + n_nationkey * 60 AS DATE) AS s, n_nationkey AS ord FROM nation) SELECT slug, arg_min(ord, (s, ord)) AS ord, CAST(min(s) AS VARCHAR) AS start FROM r WHERE s BETWEEN DATE '1996-01-01' AND DATE '1998-06-30' GROUP BY slug"),
     "type_minutes": (type_minutes, f"WITH {NEWEST} SELECT type, CAST(sum(coalesce(minutes, 0)) AS BIGINT) AS minutes FROM nx GROUP BY type"),
-    "agency_compare": (compare, f"WITH {FACTS}, o AS (SELECT sd AS service_date, CASE WHEN count(*) >= 3 THEN round(count(*) FILTER (status = 'on_time') * 100 / count(*), 4) END AS on_time_pct, count(*) AS matched FROM f2 GROUP BY sd) SELECT * FROM o ORDER BY on_time_pct DESC NULLS LAST, service_date LIMIT 40"),
+    "agency_compare": (compare, f"WITH {FACTS}, o AS (SELECT sd AS service_date, CASE WHEN count(*) >= 3 THEN round(count(*) FILTER (status = 'on_time') * 100 / count(*), 4) END AS on_time_pct, count(*) AS matched FROM f2 GROUP BY sd) SELECT * FROM o ORDER BY on_time_pct DESC NULLS LAST, service_date"),
     "route_page_means": (route_page, f"WITH {ROUTE_DAY} SELECT route_id, round(sum(headway_p50_s * visit_count) / sum(CASE WHEN headway_p50_s IS NOT NULL THEN visit_count END), 9) AS headway_s, count(DISTINCT service_date) AS days FROM route_day GROUP BY route_id"),
     "variable_stops_topk": (variable_stops, f"WITH {STOP_DAY} SELECT route_id, stop_id, service_date, headway_cov FROM stop_day WHERE headway_cov IS NOT NULL ORDER BY headway_cov DESC, route_id, stop_id, service_date, direction_id NULLS FIRST LIMIT 25"),
     "latest_per_customer": (latest_orders, "SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1"),
