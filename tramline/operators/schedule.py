@@ -55,35 +55,57 @@ def adherence(visits: DataFrame, schedule: DataFrame, tz: Column) -> DataFrame:
     trip after midnight belongs to the day before, so the arrival's local date and the date before are candidates;
     the smaller absolute delay wins, today's on a tie. The delay at arrival counts, else that at departure.
 
-    The schedule is read and shuffled once: each of its rows is a candidate of two local dates, and the two that
-    meet there are one row of the join's side. Route, direction and sequence are the schedule's, else the visit's;
-    visits without a trip, and those for which neither knows a route, are dropped. An empty vehicle is null.
+    Route, direction and sequence are the schedule's, else the visit's; visits without a trip, and those for which
+    neither knows a route, are dropped. An empty vehicle is null.
     """
-    near = F.explode(F.array(F.lit(0), F.lit(1))).alias("__near")
-    due = F.struct("service_date", "arrival_s", "departure_s", "route_id", "direction_id", "stop_sequence").alias("__due")
-    days = schedule.select("service_date", due, F.col("trip_id").alias("__trip"), F.col("stop_id").alias("__stop"), near)
-    days = days.withColumn("__date", F.date_add("service_date", F.col("__near")))
-    days = days.groupBy("__trip", "__stop", "__date").agg(F.max(F.when(F.col("__near") == 0, F.col("__due"))).alias("__s0"), F.max(F.when(F.col("__near") == 1, F.col("__due"))).alias("__s1"))
-    rows = visits.filter(true("trip_id").isNotNull())
-    if "stop_sequence" not in rows.columns:
-        rows = rows.withColumn("stop_sequence", F.lit(None).cast("int"))
-    on = (F.col("local_date") == F.col("__date")) & (F.col("trip_id") == F.col("__trip")) & (F.col("stop_id") == F.col("__stop"))
-    rows = rows.join(days, on).drop("__date", "__trip", "__stop")
+    keys = ["trip_id", "stop_id"]
+    if "stop_sequence" not in visits.columns:
+        visits = visits.withColumn("stop_sequence", F.lit(None).cast("int"))
+    carried = [c for c in visits.columns if c not in (*keys, "local_date")]
+    seen = visits.filter(true("trip_id").isNotNull()).select(*keys, F.col("local_date").alias("__date"), visit(carried, tz).alias("__visit"))
+    planned = schedule.select(*keys, F.col("service_date").alias("__date"), due().alias("__due"))
+    return meet(seen.unionByName(planned, allowMissingColumns=True), keys)
+
+
+def visit(carried: list[str], tz: Column) -> Column:
+    """A visit's own columns for meet, with the midnights of its two candidate days."""
+    midnights = [service_midnight(F.date_sub("local_date", k), tz).alias(f"__m{k}") for k in (0, 1)]
+    return F.struct(*carried, *midnights)
+
+
+def due() -> Column:
+    """A schedule row's columns for meet; of several for one trip, stop and day the greatest counts."""
+    return F.struct("arrival_s", "departure_s", "route_id", "direction_id", "stop_sequence")
+
+
+def meet(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Visits and schedule rows in one table, sorted once: a visit looks for its schedule at its own date and the one before.
+
+    rows: keys (which tell trip and stop), __date, and either __visit or __due. It takes no join and so no further
+    shuffle where the rows already lie by some of the keys, and no schedule row is repeated for a second date. Both
+    frames only grow, so a trip and stop with many rows is not held in memory.
+    """
+    rows = rows.filter(" and ".join(f"{c} is not null" for c in (*keys, "__date"))).withColumn("__day", F.unix_date("__date"))
+    order = W.partitionBy(*keys).orderBy("__day")
+    last = F.max(F.when(F.col("__due").isNotNull(), F.struct("__day", "__due")))
+    rows = rows.withColumns({f"__s{k}": last.over(order.rangeBetween(W.unboundedPreceding, -k)) for k in (0, 1)})
+    rows = rows.withColumns({f"__s{k}": F.when(F.col(f"__s{k}.__day") == F.col("__day") - k, F.col(f"__s{k}.__due")) for k in (0, 1)})
+    rows = rows.filter("__visit is not null").select(*keys, "__date", "__s0", "__s1", "__visit.*")
     for k in (0, 1):
-        midnight, s = service_midnight(F.col(f"__s{k}.service_date"), tz), F.col(f"__s{k}")
-        rows = rows.withColumn(f"__b{k}", F.coalesce(F.col("arrival_ts") - midnight - s["arrival_s"], F.col("departure_ts") - midnight - s["departure_s"]))
+        m, s = F.col(f"__m{k}"), F.col(f"__s{k}")
+        rows = rows.withColumn(f"__b{k}", F.coalesce(F.col("arrival_ts") - m - s["arrival_s"], F.col("departure_ts") - m - s["departure_s"]))
     second = F.col("__b1").isNotNull() & (F.col("__b0").isNull() | (F.abs("__b1") < F.abs("__b0")))
-    rows = rows.withColumns({"__s": F.when(second, F.col("__s1")).otherwise(F.col("__s0")), "basis": F.when(second, F.col("__b1")).otherwise(F.col("__b0"))})
-    rows = rows.filter("basis is not null").withColumn("service_date", F.col("__s.service_date"))
-    midnight = service_midnight("service_date", tz)
-    rows = rows.withColumns({"scheduled_arrival_unix": midnight + F.col("__s.arrival_s"), "scheduled_departure_unix": midnight + F.col("__s.departure_s")})
+    pick = lambda one, two: F.when(second, F.col(two)).otherwise(F.col(one))
+    rows = rows.withColumns({"__s": pick("__s0", "__s1"), "basis": pick("__b0", "__b1"), "__m": pick("__m0", "__m1"), "service_date": F.when(second, F.date_sub("__date", 1)).otherwise(F.col("__date"))})
+    rows = rows.filter("basis is not null")
+    rows = rows.withColumns({"scheduled_arrival_unix": F.col("__m") + F.col("__s.arrival_s"), "scheduled_departure_unix": F.col("__m") + F.col("__s.departure_s")})
     rows = rows.withColumns({
         "arrival_delay_s": F.col("arrival_ts") - F.col("scheduled_arrival_unix"), "departure_delay_s": F.col("departure_ts") - F.col("scheduled_departure_unix"),
         "stop_sequence": F.coalesce("__s.stop_sequence", "stop_sequence"), "route_id": F.coalesce(true("__s.route_id"), true("route_id")),
         "direction_id": F.coalesce("__s.direction_id", "direction_id"), "vehicle": true("vehicle"), "status": classify(F.col("basis")),
     })
     rows = rows.filter("route_id is not null")
-    return rows.withColumn("on_time", F.col("status") == "on_time").drop("__s", "__s0", "__s1", "__b0", "__b1", "local_date")
+    return rows.withColumn("on_time", F.col("status") == "on_time").drop("__s", "__s0", "__s1", "__b0", "__b1", "__m", "__m0", "__m1", "__date")
 
 
 def historic_facts(observed: DataFrame, modes: DataFrame, tz: Column | None = None, feeds: dict[str, str] = AGENCY_FEEDS) -> DataFrame:

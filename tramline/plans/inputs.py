@@ -6,11 +6,14 @@ and stops, part and customer are alerts, routes and vehicles.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tramline.functions.timeutil import unix
+from tramline.operators.schedule import visit
 
+PART_BYTES = 4_000_000  # of files, for a task's share
 GAP = 50_000  # events of one user lie hours apart
 
 
@@ -18,6 +21,12 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def parts(rows: DataFrame) -> int:
+    """Tasks for a table by the size of its files."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-size // PART_BYTES))
+
+
 def pings(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").withColumn("k", F.regexp_extract("props", "[0-9]+", 0).cast("long"))
     return e.select(
@@ -57,11 +66,16 @@ VISITS = VISITS.replace("strftime(to_timestamp(arrival_ts) AT TIME ZONE 'UTC', '
 
 
 def line_visits(spark: SparkSession, d: str) -> DataFrame:
-    """Observed stops: a trip for each order, a stop for each line; some have no route or vehicle."""
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("day"))
-    rows = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus").join(o, "l_orderkey")
+    """Observed stops: a trip for each order, a stop for each line; some have no route or vehicle.
+
+    The rows lie by l_orderkey, in as many parts as the lines need, so that what sorts a part needs no more memory for a larger table.
+    """
+    lines = table(spark, d, "lineitem")
+    n = parts(lines)
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("day")).repartition(n, "l_orderkey")
+    rows = lines.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus").repartition(n, "l_orderkey").join(o, "l_orderkey")
     sched = F.lit(21600) + F.col("l_linenumber") * 600 + (F.col("l_orderkey") % 20) * 3600
-    midnight = unix(F.col("day").cast("timestamp_ntz"))
+    midnight = F.unix_date("day").cast("long") * 86400
     rows = rows.select(
         F.col("l_orderkey").cast("string").alias("trip_id"), F.col("l_linenumber").cast("string").alias("stop_id"), F.when(F.col("l_partkey") % 17 > 1, F.col("l_returnflag")).when(F.col("l_partkey") % 17 == 1, "").alias("route_id"),
         F.when(F.col("l_linestatus") == "F", 0).otherwise(1).alias("direction_id"), F.when(F.col("l_suppkey") % 9 == 0, "").otherwise(F.col("l_suppkey").cast("string")).alias("vehicle"), "day", "l_linenumber", "l_orderkey",
@@ -80,11 +94,34 @@ obs AS (SELECT *, row_number() OVER () AS rid, arrival_ts + q AS departure_ts, C
 
 def schedule(spark: SparkSession, d: str) -> DataFrame:
     """The same times on the order's day and the day before."""
-    rows = line_visits(spark, d).groupBy("trip_id", "stop_id", "day", "sched_s", "l_linenumber").agg(F.min("route_id").alias("route_id"), F.min("direction_id").alias("direction_id"))
+    rows = line_visits(spark, d).groupBy("l_orderkey", "trip_id", "stop_id", "day", "sched_s", "l_linenumber").agg(F.min("route_id").alias("route_id"), F.min("direction_id").alias("direction_id"))
     rows = rows.withColumn("service_date", F.explode(F.array("day", F.date_sub("day", 1))))
-    # every seventh trip has no arrival time
-    bare = F.col("trip_id").cast("long") % 7 == 0
-    return rows.select("service_date", "trip_id", "stop_id", F.when(~bare, F.col("sched_s")).alias("arrival_s"), (F.col("sched_s") + 30).alias("departure_s"), F.when(F.col("trip_id").cast("long") % 5 != 0, F.col("route_id")).alias("route_id"), "direction_id", F.when(F.col("trip_id").cast("long") % 13 != 0, F.col("l_linenumber")).cast("int").alias("stop_sequence"))
+    return rows.select("service_date", "trip_id", "stop_id", *planned("route_id", "direction_id"))
+
+
+def planned(route: str, direction: str) -> list[Column]:
+    """A schedule row's columns, of which some trips lack one; every seventh trip has no arrival time."""
+    n = F.col("l_orderkey")
+    return [
+        F.when(n % 7 != 0, F.col("sched_s")).alias("arrival_s"), (F.col("sched_s") + 30).alias("departure_s"), F.when(n % 5 != 0, F.col(route)).alias("route_id"),
+        F.col(direction).alias("direction_id"), F.when(n % 13 != 0, F.col("l_linenumber")).cast("int").alias("stop_sequence"),
+    ]
+
+
+def visits_and_schedule(spark: SparkSession, d: str, tz: Column) -> DataFrame:
+    """line_visits and schedule as rows for meet, from one reading: both lie by order, so one shuffle serves all.
+
+    l_orderkey and l_linenumber stand for the trip and the stop, whose names are their texts.
+    """
+    group = W.partitionBy("l_orderkey", "l_linenumber", "day", "sched_s")
+    rows = line_visits(spark, d).withColumns({"__route": F.min("route_id").over(group), "__direction": F.min("direction_id").over(group)})
+    seen = visit(["vehicle", "route_id", "direction_id", "stop_sequence", "arrival_ts", "departure_ts"], tz)
+    due = F.struct(*planned("__route", "__direction"))
+    rows = rows.select("l_orderkey", "l_linenumber", "day", "local_date", seen.alias("__v"), due.alias("__d"))
+    none = lambda c: F.when(F.lit(False), F.col(c))
+    row = lambda day, v, d: F.struct(day.alias("__date"), v.alias("__visit"), d.alias("__due"))
+    each = F.array(row(F.col("local_date"), F.col("__v"), none("__d")), *[row(F.date_sub("day", k), none("__v"), F.col("__d")) for k in (0, 1)])
+    return rows.select("l_orderkey", "l_linenumber", F.inline(each))
 
 
 SCHEDULE = f"""{LINES},
