@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from tramline.operators import schedule
 
 #: Most exchanges of the executed plan; the lines and the orders are shuffled once each.
-EXCHANGES = {"daily_series_pivot": 5, "daily_otp": 3, "agency_compare": 4}
+EXCHANGES = {"daily_series_pivot": 5, "daily_otp": 3, "agency_compare": 4, "worst_stops_topk": 3}
 
 
 @pytest.fixture
