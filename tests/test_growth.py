@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tramline.operators import schedule
+from tramline.operators import schedule, segments
+from tramline.plans import scheduled
 
 #: Most exchanges of the executed plan; the lines and the orders are shuffled once each.
 EXCHANGES = {"daily_series_pivot": 5, "daily_otp": 3, "agency_compare": 4, "worst_stops_topk": 3}
@@ -45,3 +46,19 @@ def test_adherence_meets_only_whole_keys_and_near_dates(spark):
     )
     got = schedule.adherence(visits, rows, F.lit("UTC")).collect()
     assert sorted((r["stop_id"], r["service_date"], r["arrival_delay_s"]) for r in got) == [("S", day, 0), ("Y", date(2024, 3, 4), 0)]
+
+
+def test_segments_meet_stops_without_a_shuffle(spark, tiny, no_broadcast):
+    text = plan(scheduled.transit(spark, tiny))
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 2 and text.count("SortMergeJoin") == 1, text
+    assert "from_stop_id" not in "".join(line for line in text.splitlines() if "Exchange" in line), text
+
+
+def test_more_stops_than_are_broadcast(spark, monkeypatch):
+    rows = spark.createDataFrame([("A", "B"), ("A", None), ("B", "X")], "from_stop_id string, to_stop_id string")
+    stops = spark.createDataFrame([("A", 1.0, 2.0), ("B", 3.0, 4.0)], "stop_id string, lat double, lon double")
+    want = [("A", "B", 1.0, 2.0, 3.0, 4.0)]
+    columns = ["from_stop_id", "to_stop_id", "from_lat", "from_lon", "to_lat", "to_lon"]
+    assert list(map(tuple, segments.with_coords(rows, stops).select(*columns).collect())) == want
+    monkeypatch.setattr(segments, "MAX_STOPS", 1)
+    assert list(map(tuple, segments.with_coords(rows, stops).select(*columns).collect())) == want

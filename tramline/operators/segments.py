@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 from tramline.functions.geo import MPH, haversine_m
 from tramline.functions.stats import pct, pct_int, true
 
+MAX_STOPS = 100_000
 MAX_TRANSIT_S, BUS_MPH, RAIL_MPH = 7200, 90.0, 200.0
 RATIO = (0.95, 4.0)
 
 
-def pairs(visits: DataFrame) -> DataFrame:
+def pairs(visits: DataFrame, trip: str = "trip_id") -> DataFrame:
     """Consecutive visits of a trip; buses and others pair apart, as their speed limits differ.
 
-    Visits without a trip or route take no part, so their neighbours are consecutive.
+    Visits without a trip or route take no part, so their neighbours are consecutive. trip: a column that tells trips
+    apart as trip_id does, by which the rows may lie already.
     """
     rows = visits.filter(true("trip_id").isNotNull() & true("route_id").isNotNull()).withColumn("is_bus", F.coalesce(F.col("mode") == "bus", F.lit(False)))
-    order = W.partitionBy("trip_id", "is_bus").orderBy("arrival_ts", "departure_ts", "stop_id", "vehicle")
+    order = W.partitionBy(trip, "is_bus").orderBy("arrival_ts", "departure_ts", "stop_id", "vehicle")
     nxt = F.lead(F.struct("stop_id", "arrival_ts")).over(order)
     rows = rows.withColumn("__to", nxt).filter("__to is not null")
     return rows.select(
@@ -29,7 +31,12 @@ def pairs(visits: DataFrame) -> DataFrame:
 
 
 def with_coords(segments: DataFrame, stops: DataFrame) -> DataFrame:
-    """Both ends' coordinates; a segment without one of them is dropped."""
+    """Both ends' coordinates; a segment without one of them is dropped.
+
+    Up to MAX_STOPS stops are broadcast, which is checked: segments would else be shuffled twice, by a few hot stops.
+    """
+    if stops.limit(MAX_STOPS + 1).count() <= MAX_STOPS:
+        stops = F.broadcast(stops)
     for end in ("from", "to"):
         s = stops.select(F.col("stop_id").alias(f"{end}_stop_id"), F.col("lat").alias(f"{end}_lat"), F.col("lon").alias(f"{end}_lon"))
         segments = segments.join(s, f"{end}_stop_id")
