@@ -10,7 +10,7 @@ from tramline.operators import schedule, segments
 from tramline.plans import scheduled
 
 #: Most exchanges of the executed plan; the lines and the orders are shuffled once each.
-EXCHANGES = {"daily_series_pivot": 5, "daily_otp": 3, "agency_compare": 4, "worst_stops_topk": 3, "adherence_fact": 2, "adherence_tallies": 3, "period_delta": 4, "route_day_otp": 4, "route_fold_export": 4}
+EXCHANGES = {"daily_series_pivot": 5, "daily_otp": 3, "agency_compare": 4, "worst_stops_topk": 3, "adherence_fact": 2, "adherence_tallies": 3, "period_delta": 4, "route_day_otp": 4, "route_fold_export": 4, "stop_day_otp": 3}
 
 
 @pytest.fixture
