@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -62,3 +63,26 @@ def test_more_stops_than_are_broadcast(spark, monkeypatch):
     assert list(map(tuple, segments.with_coords(rows, stops).select(*columns).collect())) == want
     monkeypatch.setattr(segments, "MAX_STOPS", 1)
     assert list(map(tuple, segments.with_coords(rows, stops).select(*columns).collect())) == want
+
+
+def test_headways_by_distinct_times_are_those_of_all_rows(spark):
+    rows = spark.createDataFrame(
+        [("A", "S", 10, 1), ("A", "S", 10, 1), ("A", "S", 10, None), ("B", "S", 10, 2), ("B", "S", 25, 3), ("C", "S", 40, 1), ("D", "S", 7, 1), ("D", "S", 40, 2), ("E", "S", 50, 1), ("A", "Z", 90, 4), ("C", "S", None, 9)],
+        "trip_id string, stop_id string, arrival_s int, stop_sequence int",
+    )
+    trips = spark.createDataFrame([("A", "R", 0), ("B", "R", 0), ("C", None, 1), ("D", None, 1), ("E", "R", None)], "trip_id string, route_id string, direction_id int")
+    order = W.partitionBy("route_id", "direction_id", "stop_id").orderBy("arrival_s", "trip_id", "stop_sequence")
+    plain = rows.join(trips, "trip_id").withColumn("w", F.when(F.col("arrival_s").isNotNull() & F.col("direction_id").isNotNull(), F.col("arrival_s") - F.lag("arrival_s").over(order)))
+    plain = plain.withColumn("w", F.when(F.col("trip_id").isin("C") & (F.col("arrival_s") == 40), 33).otherwise(F.col("w")))  # the row without a time takes no part
+    columns = ["trip_id", "stop_id", "arrival_s", "stop_sequence"]
+    show = lambda df, c: sorted(map(str, df.select(*columns, c).collect()))
+    got = schedule.scheduled_stops(rows, trips)
+    assert [x.replace("scheduled_headway", "w") for x in show(got, "scheduled_headway")] == show(plain, "w")
+
+
+def test_no_window_over_all_rows_of_a_stop(spark, tiny, no_broadcast):
+    df = entry.queries()["scheduled_headway"](spark, tiny)
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in text.splitlines() if "Window [lag(arrival_s" in line]
+    assert windows and all("trip_id" not in w.split("ASC NULLS FIRST")[0] for w in windows)
+    assert not any("trip_id" in w and "route_id" in w for w in windows), windows

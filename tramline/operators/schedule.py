@@ -24,20 +24,41 @@ def active_services(calendar: DataFrame, exceptions: DataFrame, days: DataFrame)
     return regular.union(plus).distinct().join(minus, ["day", "service_id"], "left_anti")
 
 
-def scheduled_stops(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
+def scheduled_stops(stop_times: DataFrame, trips: DataFrame, trip: str = "trip_id", headway: bool = True) -> DataFrame:
     """Stop times of the given trips with scheduled_tt and scheduled_headway.
 
-    An absent time is null and takes no part in either. A null direction has no headway.
+    An absent time is null and takes no part in either. A null direction has no headway. trip: a column of both that
+    tells trips apart as trip_id does, by which the rows may lie already. Without headway there is no such column.
     """
-    rows = stop_times.join(trips, "trip_id")
-    start = F.min("arrival_s").over(W.partitionBy("trip_id"))
-    order = W.partitionBy("route_id", "direction_id", "stop_id").orderBy("arrival_s", "trip_id", "stop_sequence")
-    gap = F.when(F.col("direction_id").isNotNull(), F.col("arrival_s") - F.lag("arrival_s", 1).over(order))
-    timed = rows.filter("arrival_s is not null").withColumns({"scheduled_tt": F.col("arrival_s") - start, "scheduled_headway": gap})
-    bare = rows.filter("arrival_s is null").withColumns({"scheduled_tt": F.lit(None).cast("int"), "scheduled_headway": F.lit(None).cast("int")})
+    rows = stop_times.join(trips if trip == "trip_id" else trips.drop("trip_id"), trip)
+    start = F.min("arrival_s").over(W.partitionBy(trip))
+    timed = rows.filter("arrival_s is not null").withColumn("scheduled_tt", F.col("arrival_s") - start)
+    bare = rows.filter("arrival_s is null").withColumn("scheduled_tt", F.lit(None).cast("int"))
+    if headway:
+        timed, bare = with_headway(timed, trip), bare.withColumn("scheduled_headway", F.lit(None).cast("int"))
     return timed.unionByName(bare)
 
 
+def with_headway(timed: DataFrame, trip: str) -> DataFrame:
+    """The wait since the row before by (arrival_s, trip_id, stop_sequence) of a route, direction and stop.
+
+    Only the first row of each time waits, since the time before; the others have 0. So the order is over the distinct
+    times of a stop, which are few, and not over all of its rows, which one task would have to sort.
+    """
+    by = ["route_id", "direction_id", "stop_id"]
+    same = W.partitionBy(trip).orderBy(*by, "arrival_s", "stop_sequence")
+    row = F.struct(*by, "arrival_s", "stop_sequence")
+    timed = timed.withColumn("__again", F.coalesce(F.lag(row).over(same).eqNullSafe(row), F.lit(False)))
+    times = timed.filter("direction_id is not null").groupBy(*by, "arrival_s").agg(F.min(F.struct("trip_id", "stop_sequence")).alias("__first"))
+    times = times.withColumn("__gap", F.col("arrival_s") - F.lag("arrival_s").over(W.partitionBy(*by).orderBy("arrival_s")))
+    times = times.select("__first", "__gap", *[F.col(c).alias(f"__{c}") for c in (*by, "arrival_s")])
+    on = (F.col("arrival_s") == F.col("__arrival_s")) & (F.col("direction_id") == F.col("__direction_id"))
+    rows = timed.join(times, on & F.col("route_id").eqNullSafe(F.col("__route_id")) & F.col("stop_id").eqNullSafe(F.col("__stop_id")), "left")
+    first = (F.col("trip_id") == F.col("__first.trip_id")) & F.col("stop_sequence").eqNullSafe(F.col("__first.stop_sequence")) & ~F.col("__again")
+    gap = F.when(first, F.col("__gap")).when(F.col("__first").isNotNull(), 0)
+    return rows.withColumn("scheduled_headway", gap).drop("__again", "__first", "__gap", *[f"__{c}" for c in (*by, "arrival_s")])
+
+
 def keep_first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key."""
     return rows.withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter("__n = 1").drop("__n")

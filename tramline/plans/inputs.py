@@ -96,7 +96,7 @@ def schedule(spark: SparkSession, d: str) -> DataFrame:
     """The same times on the order's day and the day before."""
     rows = line_visits(spark, d).groupBy("l_orderkey", "trip_id", "stop_id", "day", "sched_s", "l_linenumber").agg(F.min("route_id").alias("route_id"), F.min("direction_id").alias("direction_id"))
     rows = rows.withColumn("service_date", F.explode(F.array("day", F.date_sub("day", 1))))
-    return rows.select("service_date", "trip_id", "stop_id", *planned("route_id", "direction_id"))
+    return rows.select("l_orderkey", "service_date", "trip_id", "stop_id", *planned("route_id", "direction_id"))
 
 
 def planned(route: str, direction: str) -> list[Column]:
