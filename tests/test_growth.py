@@ -1,6 +1,6 @@
 """Steps whose shuffles or memory once grew faster than the input: their plans, without broadcasts, and odd inputs."""
 
-from datetime import date
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import Window as W
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tramline.operators import schedule, segments
-from tramline.plans import scheduled
+from tramline.plans import inputs, scheduled
 
 #: Most exchanges of the executed plan; the lines and the orders are shuffled once each.
 EXCHANGES = {"daily_series_pivot": 5, "daily_otp": 3, "agency_compare": 4, "worst_stops_topk": 3, "adherence_fact": 2, "adherence_tallies": 3, "period_delta": 4, "route_day_otp": 4, "route_fold_export": 4, "stop_day_otp": 3}
@@ -49,6 +49,28 @@ def test_adherence_meets_only_whole_keys_and_near_dates(spark):
     assert sorted((r["stop_id"], r["service_date"], r["arrival_delay_s"]) for r in got) == [("S", day, 0), ("Y", date(2024, 3, 4), 0)]
 
 
+@pytest.mark.parametrize("name", EXCHANGES)
+def test_facts_are_sorted_once_and_no_row_is_repeated(spark, tiny, no_broadcast, name):
+    text = plan(entry.queries()[name](spark, tiny))
+    assert text.count(" Sort [l_orderkey") == 3 and "Generate" not in text, text  # two for the join, one for all windows
+
+
+def test_facts_are_those_of_the_search_in_the_schedule(spark, tmp_path):
+    """Orders of several days, near and far, twice on one day or without one; lines far from the order's day, repeated, without a number, route or order."""
+    first = datetime(2024, 3, 5)
+    days = {1: [0], 2: [0, 1], 3: [0, 2, 3], 4: [0, 0], 5: [None, 0, 1], 6: [None], 7: [0, 1], 10: [0, 1, 5], 13: [1, -1], 35: [0, 1]}
+    orders = [(k, None if n is None else first + timedelta(n)) for k, each in days.items() for n in each]
+    numbers = [1, 1, 2, 70, 110, 200, 250, 500, -40, -200, None]
+    lines = [(k, 17 * i + k % 3 + p, 9 * (i % 3) + k, n, float(i), "ANR"[(i + p) % 3] if i % 4 else None, "FO"[(i + k) % 2]) for k in (*days, 99) for i, n in enumerate(numbers) for p in (0, 2, 450)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    d = str(tmp_path)
+    want = schedule.adherence(inputs.line_visits(spark, d), inputs.schedule(spark, d), F.lit("UTC")).withColumn("service_date", F.col("service_date").cast("string"))
+    show = lambda df: sorted(map(str, df.select(*scheduled.COLUMNS).collect()))
+    got = show(scheduled.facts(spark, d))
+    assert len(got) > 250 and got == show(want)
+
+
 def test_segments_meet_stops_without_a_shuffle(spark, tiny, no_broadcast):
     text = plan(scheduled.transit(spark, tiny))
     assert text.count("Exchange hashpartitioning(l_orderkey") == 2 and text.count("SortMergeJoin") == 1, text

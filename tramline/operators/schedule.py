@@ -90,8 +90,11 @@ def adherence(visits: DataFrame, schedule: DataFrame, tz: Column) -> DataFrame:
 
 def visit(carried: list[str], tz: Column) -> Column:
     """A visit's own columns for meet, with the midnights of its two candidate days."""
-    midnights = [service_midnight(F.date_sub("local_date", k), tz).alias(f"__m{k}") for k in (0, 1)]
-    return F.struct(*carried, *midnights)
+    return F.struct(*carried, *midnights("local_date", tz))
+
+
+def midnights(date: str, tz: Column) -> list[Column]:
+    return [service_midnight(F.date_sub(date, k), tz).alias(f"__m{k}") for k in (0, 1)]
 
 
 def due() -> Column:
@@ -111,7 +114,30 @@ def meet(rows: DataFrame, keys: list[str]) -> DataFrame:
     last = F.max(F.when(F.col("__due").isNotNull(), F.struct("__day", "__due")))
     rows = rows.withColumns({f"__s{k}": last.over(order.rangeBetween(W.unboundedPreceding, -k)) for k in (0, 1)})
     rows = rows.withColumns({f"__s{k}": F.when(F.col(f"__s{k}.__day") == F.col("__day") - k, F.col(f"__s{k}.__due")) for k in (0, 1)})
-    rows = rows.filter("__visit is not null").select(*keys, "__date", "__s0", "__s1", "__visit.*")
+    return judge(rows.filter("__visit is not null").select(*keys, "__date", "__s0", "__s1", "__visit.*"))
+
+
+def meet_own(rows: DataFrame, keys: list[str], days: int) -> DataFrame:
+    """meet for visits that bring their schedule row along, so that nothing is searched for and no row is repeated.
+
+    rows: a visit's columns, keys, __date, and __due, a schedule row that holds on `__from` and the days - 1 dates before.
+    Rows of equal keys and __from have equal __due. Nearly all keys have one such row, which is then the visit's own;
+    for others the distinct ones are looked through. One sort by keys and __from serves all, and that of the caller too.
+    """
+    rows = rows.filter(" and ".join(f"{c} is not null" for c in (*keys, "__date", "__from")))
+    whole = W.partitionBy(*keys)
+    rows = rows.withColumns({"__lo": F.min("__from").over(whole), "__hi": F.max("__from").over(whole)})
+    several = F.col("__lo") < F.col("__hi")
+    rows = rows.withColumn("__dues", F.collect_set(F.when(several, F.struct("__from", "__due"))).over(whole))
+    for k in (0, 1):
+        holds = lambda day, k=k: F.datediff(day, F.date_sub("__date", k)).between(0, days - 1)
+        found = F.array_max(F.transform(F.filter("__dues", lambda x: holds(x["__from"])), lambda x: x["__due"]))  # noqa: B023
+        rows = rows.withColumn(f"__s{k}", F.when(several, found).when(holds(F.col("__from")), F.col("__due")))
+    return judge(rows.drop("__from", "__due", "__lo", "__hi", "__dues"))
+
+
+def judge(rows: DataFrame) -> DataFrame:
+    """The nearer of a visit's two schedule rows __s0 and __s1, of the days that begin at __m0 and __m1, and the delays by it."""
     for k in (0, 1):
         m, s = F.col(f"__m{k}"), F.col(f"__s{k}")
         rows = rows.withColumn(f"__b{k}", F.coalesce(F.col("arrival_ts") - m - s["arrival_s"], F.col("departure_ts") - m - s["departure_s"]))

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tramline.functions.timeutil import unix
-from tramline.operators.schedule import visit
+from tramline.operators.schedule import midnights
 
 PART_BYTES = 4_000_000  # of files, for a task's share
 GAP = 50_000  # events of one user lie hours apart
@@ -109,19 +109,16 @@ def planned(route: str, direction: str) -> list[Column]:
 
 
 def visits_and_schedule(spark: SparkSession, d: str, tz: Column) -> DataFrame:
-    """line_visits and schedule as rows for meet, from one reading: both lie by order, so one shuffle serves all.
+    """line_visits, each with its row of schedule, for meet_own: both lie by order, so one shuffle and one sort serve all.
 
     l_orderkey and l_linenumber stand for the trip and the stop, whose names are their texts.
     """
-    group = W.partitionBy("l_orderkey", "l_linenumber", "day", "sched_s")
+    group = W.partitionBy("l_orderkey", "l_linenumber", "day")
     rows = line_visits(spark, d).withColumns({"__route": F.min("route_id").over(group), "__direction": F.min("direction_id").over(group)})
-    seen = visit(["vehicle", "route_id", "direction_id", "stop_sequence", "arrival_ts", "departure_ts"], tz)
-    due = F.struct(*planned("__route", "__direction"))
-    rows = rows.select("l_orderkey", "l_linenumber", "day", "local_date", seen.alias("__v"), due.alias("__d"))
-    none = lambda c: F.when(F.lit(False), F.col(c))
-    row = lambda day, v, d: F.struct(day.alias("__date"), v.alias("__visit"), d.alias("__due"))
-    each = F.array(row(F.col("local_date"), F.col("__v"), none("__d")), *[row(F.date_sub("day", k), none("__v"), F.col("__d")) for k in (0, 1)])
-    return rows.select("l_orderkey", "l_linenumber", F.inline(each))
+    return rows.select(
+        "l_orderkey", "l_linenumber", F.col("day").alias("__from"), F.col("local_date").alias("__date"), F.struct(*planned("__route", "__direction")).alias("__due"),
+        "vehicle", "route_id", "direction_id", "stop_sequence", "arrival_ts", "departure_ts", *midnights("local_date", tz),
+    )
 
 
 SCHEDULE = f"""{LINES},
