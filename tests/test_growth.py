@@ -55,6 +55,13 @@ def test_facts_are_sorted_once_and_no_row_is_repeated(spark, tiny, no_broadcast,
     assert text.count(" Sort [l_orderkey") == 3 and "Generate" not in text, text  # two for the join, one for all windows
 
 
+@pytest.mark.parametrize("name", EXCHANGES)
+def test_facts_look_up_no_time_zone_for_each_line(spark, tiny, name):
+    text = entry.queries()[name](spark, tiny)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" in text
+    assert "convert_timezone" not in text, text
+
+
 def test_facts_are_those_of_the_search_in_the_schedule(spark, tmp_path):
     """Orders of several days, near and far, twice on one day or without one; lines far from the order's day, repeated, without a number, route or order."""
     first = datetime(2024, 3, 5)

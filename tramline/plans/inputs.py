@@ -11,7 +11,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tramline.functions.timeutil import unix
-from tramline.operators.schedule import midnights
 
 PART_BYTES = 4_000_000  # of files, for a task's share
 GAP = 50_000  # events of one user lie hours apart
@@ -108,16 +107,18 @@ def planned(route: str, direction: str) -> list[Column]:
     ]
 
 
-def visits_and_schedule(spark: SparkSession, d: str, tz: Column) -> DataFrame:
+def visits_and_schedule(spark: SparkSession, d: str) -> DataFrame:
     """line_visits, each with its row of schedule, for meet_own: both lie by order, so one shuffle and one sort serve all.
 
-    l_orderkey and l_linenumber stand for the trip and the stop, whose names are their texts.
+    l_orderkey and l_linenumber stand for the trip and the stop, whose names are their texts. Days are those of UTC, as
+    in line_visits, so midnights are whole days since 1970 and no time zone is looked up for each line.
     """
+    midnights = [(F.unix_date(F.date_sub("local_date", k)).cast("long") * 86400).alias(f"__m{k}") for k in (0, 1)]
     group = W.partitionBy("l_orderkey", "l_linenumber", "day")
     rows = line_visits(spark, d).withColumns({"__route": F.min("route_id").over(group), "__direction": F.min("direction_id").over(group)})
     return rows.select(
         "l_orderkey", "l_linenumber", F.col("day").alias("__from"), F.col("local_date").alias("__date"), F.struct(*planned("__route", "__direction")).alias("__due"),
-        "vehicle", "route_id", "direction_id", "stop_sequence", "arrival_ts", "departure_ts", *midnights("local_date", tz),
+        "vehicle", "route_id", "direction_id", "stop_sequence", "arrival_ts", "departure_ts", *midnights,
     )
 
 
