@@ -1,5 +1,6 @@
 """Steps whose shuffles or memory once grew faster than the input: their plans, without broadcasts, and odd inputs."""
 
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -62,6 +63,39 @@ def test_facts_look_up_no_time_zone_for_each_line(spark, tiny, name):
     assert "convert_timezone" not in text, text
 
 
+@pytest.mark.parametrize("name", EXCHANGES)
+def test_facts_are_dealt_out_by_tasks_of_bounded_pieces(spark, tiny, monkeypatch, name):
+    monkeypatch.setattr(inputs, "SPLIT_BYTES", 20_000)
+    monkeypatch.setattr(inputs, "PART_BYTES", 10_000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        leaves = entry.queries()[name](spark, tiny)._jdf.queryExecution().executedPlan().collectLeaves()
+        tasks = {}
+        for i in range(leaves.size()):
+            scan = leaves.apply(i)
+            tasks[scan.relation().location().rootPaths().head().getName()] = scan.inputRDD().getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    for file, n in tasks.items():
+        assert n >= os.path.getsize(f"{tiny}/{file}") / 20_000, tasks
+    assert set(tasks) == {"lineitem.parquet", "orders.parquet"}
+
+
+def test_pieces_hold_all_rows_and_leave_the_session_alone(spark, tiny, monkeypatch):
+    monkeypatch.setattr(inputs, "SPLIT_BYTES", 20_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rows = inputs.pieces(spark, tiny, "lineitem")
+    whole = inputs.table(spark, tiny, "lineitem")
+    assert rows.rdd.getNumPartitions() > whole.rdd.getNumPartitions()
+    assert rows.schema == whole.schema and rows.exceptAll(whole).isEmpty() and whole.exceptAll(rows).isEmpty()
+    assert rows.sparkSession is spark and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        assert inputs.pieces(spark, tiny, "lineitem").rdd.getNumPartitions() > rows.rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_facts_are_those_of_the_search_in_the_schedule(spark, tmp_path):
     """Orders of several days, near and far, twice on one day or without one; lines far from the order's day, repeated, without a number, route or order."""
     first = datetime(2024, 3, 5)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tramline.functions.timeutil import unix
 
 PART_BYTES = 4_000_000  # of files, for a task's share
+SPLIT_BYTES = 4 * PART_BYTES  # of files, for a task that deals rows out to such shares
 GAP = 50_000  # events of one user lie hours apart
 
 
@@ -26,6 +27,19 @@ def parts(rows: DataFrame) -> int:
     return max(rows.sparkSession.sparkContext.defaultParallelism, -(-size // PART_BYTES))
 
 
+def pieces(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """table, read by tasks of at most SPLIT_BYTES each, as a task that deals rows out to more than 200 parts holds all of its own.
+
+    The bound is a setting of the session that lists the files, so a copy of the session lists them and the caller's is not touched.
+    """
+    own = spark._jsparkSession
+    reader = own.cloneSession()
+    bound = min(SPLIT_BYTES, own.sessionState().conf().filesMaxPartitionBytes())
+    reader.conf().set("spark.sql.files.maxPartitionBytes", str(bound))
+    plan = reader.read().parquet(f"{d}/{name}.parquet").logicalPlan()
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(own, plan), spark)
+
+
 def pings(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").withColumn("k", F.regexp_extract("props", "[0-9]+", 0).cast("long"))
     return e.select(
@@ -68,10 +82,11 @@ def line_visits(spark: SparkSession, d: str) -> DataFrame:
     """Observed stops: a trip for each order, a stop for each line; some have no route or vehicle.
 
     The rows lie by l_orderkey, in as many parts as the lines need, so that what sorts a part needs no more memory for a larger table.
+    They are read in pieces, so that neither does what deals them out, nor does it spill.
     """
-    lines = table(spark, d, "lineitem")
+    lines = pieces(spark, d, "lineitem")
     n = parts(lines)
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("day")).repartition(n, "l_orderkey")
+    o = pieces(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("day")).repartition(n, "l_orderkey")
     rows = lines.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus").repartition(n, "l_orderkey").join(o, "l_orderkey")
     sched = F.lit(21600) + F.col("l_linenumber") * 600 + (F.col("l_orderkey") % 20) * 3600
     midnight = F.unix_date("day").cast("long") * 86400
